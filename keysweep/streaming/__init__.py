@@ -1,0 +1 @@
+"""Intentionally empty: reconciliation is a batch job, so there is no streaming operator."""

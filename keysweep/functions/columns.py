@@ -85,6 +85,9 @@ def align_keys(source: DataFrame, target_schema: T.StructType, keys: Sequence[st
     A key that does not survive the conversion fails the query instead of looking like a deleted row.
     """
     source_types = {f.name.lower(): f.dataType for f in source.schema.fields}
+    absent = [key for key in keys if key.lower() not in source_types]
+    if absent:
+        raise ValueError(f"the source has no key columns {absent}")
     aligned = []
     for key in keys:
         have, want = source_types[key.lower()], target_schema[key].dataType

@@ -70,11 +70,27 @@ def missing_keys(
     return found.filter(~F.col(_IN_SOURCE)).select(*columns)
 
 
+def _marked(df: DataFrame, gone: Sized, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """``df`` with a mark on the rows whose key is in ``gone``."""
+    marks = gone.hinted.withColumn(_MATCHED, F.lit(True))
+    return key_join(df, marks, keys, "left", null_safe)
+
+
 def rows_with_keys(
-    df: DataFrame, wanted: Sized, keys: Sequence[str], null_safe: bool = False
+    df: DataFrame, gone: Sized, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Rows of ``df`` whose key is in ``wanted``."""
-    return key_join(df, wanted.hinted, keys, "left_semi", null_safe)
+    """Rows of ``df`` whose key is in ``gone``, the distinct missing keys, or holds a NULL (``=`` keys).
+
+    Where ``gone`` is broadcast, ``df`` is scanned once and stays where it is. Else only rows without a
+    NULL in their key are shuffled.
+    """
+    if null_safe:
+        return key_join(df, gone.hinted, keys, "left_semi", null_safe)
+    if gone.small:
+        marked = _marked(df, gone, keys, null_safe)
+        return marked.filter(column(_MATCHED).isNotNull() | any_null(keys)).drop(_MATCHED)
+    with_key = key_join(df.filter(none_null(keys)), gone.hinted, keys, "left_semi", null_safe)
+    return with_key.unionByName(df.filter(any_null(keys)))
 
 
 def missing_by_key(
@@ -87,9 +103,8 @@ def missing_by_key(
 ) -> DataFrame:
     """The rows of ``missing_in_source``, found through their staged keys."""
     gone = missing_keys(target, source, keys, null_safe)
-    wanted = stage_sized(gone, f"{folder}/missing_keys", broadcast_limit)
-    rows = rows_with_keys(target, wanted, keys, null_safe)
-    return rows if null_safe else rows.unionByName(target.filter(any_null(keys)))
+    staged = stage_sized(gone, f"{folder}/missing_keys", broadcast_limit)
+    return rows_with_keys(target, staged, keys, null_safe)
 
 
 def flag_deleted(rows: DataFrame, flag_col: str = FLAG_COLUMN) -> DataFrame:
@@ -110,7 +125,6 @@ def flag_rows(
     This is what an upsert of the update set comes to, since every incoming row ties with the stored
     row it was made from. It needs only the keys of the update set, not its rows.
     """
-    marked = gone.hinted.withColumn(_MATCHED, F.lit(True))
     active = is_active(flag_col, null_is_active)
     matched = column(_MATCHED).isNotNull()
 
@@ -118,12 +132,9 @@ def flag_rows(
         new_flag = F.when(active & condition, F.lit(DELETED)).otherwise(column(flag_col))
         return df.withColumn(flag_col, new_flag).select(*map(column, stored.columns))
 
-    def joined(df: DataFrame) -> DataFrame:
-        return key_join(df, marked, keys, "left", null_safe)
-
     if null_safe:
-        return flagged(joined(stored), matched)
+        return flagged(_marked(stored, gone, keys, null_safe), matched)
     if gone.small:
-        return flagged(joined(stored), matched | any_null(keys))
-    with_key = flagged(joined(stored.filter(none_null(keys))), matched)
+        return flagged(_marked(stored, gone, keys, null_safe), matched | any_null(keys))
+    with_key = flagged(_marked(stored.filter(none_null(keys)), gone, keys, null_safe), matched)
     return with_key.unionByName(flagged(stored.filter(any_null(keys)), F.lit(True)))

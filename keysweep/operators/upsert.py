@@ -1,15 +1,18 @@
 """Ordered upsert: an incoming row replaces the stored row of its key unless the stored one is later.
 
-Keys are compared with NULL equal to NULL, as record keys are. The stored rows are joined with the
-incoming ones instead of being sorted together with them: when the incoming rows are few they are
-broadcast and no stored row is shuffled.
+Keys are compared with NULL equal to NULL, as record keys are. Two forms give the same rows:
+
+* ``upsert`` ranks stored and incoming rows of a key together, in one lazy plan.
+* ``stored_homes``, ``at_home`` and ``merge`` are the steps for a stored table, see ``upsert_to_path``:
+  incoming rows are joined to the stored ones, and when they are few they are broadcast, so that no
+  stored row is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keysweep.functions.columns import column, null_fill
@@ -19,6 +22,8 @@ from keysweep.operators.latest import latest_wins, ordering_value
 HOME = "__home"
 COPIES = "__copies"
 _INCOMING = "__incoming"
+_RANK = "__rank"
+_WRITTEN = "__written"
 
 
 def stored_homes(
@@ -80,13 +85,32 @@ def upsert(
     ordering_type: str | None = None,
     partition_col: str | None = None,
 ) -> DataFrame:
-    """All rows after upserting ``incoming`` into ``stored``, as one lazy plan.
+    """All rows after upserting ``incoming`` into ``stored``, as one lazy plan with one shuffle of each.
 
     Of several incoming rows of a key the latest counts; columns the batch lacks become NULL; a row keeps
     the partition it is stored in. The query fails if a stored key that is written to is not unique.
+    For a stored table, ``upsert_to_path`` avoids the shuffle of the stored rows.
     """
+    names = stored.columns
     latest = latest_wins(null_fill(incoming, stored.schema), keys, ordering, ordering_type)
-    placed = at_home(latest, stored_homes(stored, keys, partition_col), keys, partition_col)
+    rows = stored.withColumn(_INCOMING, F.lit(0)).unionByName(latest.withColumn(_INCOMING, F.lit(1)))
+
+    key = Window.partitionBy(*map(column, keys))
+    later_first = [ordering_value(ordering, ordering_type), column(_INCOMING)]
+    ranked = key.orderBy(*[c.desc_nulls_last() for c in later_first])
+    is_stored = column(_INCOMING) == 0
+    rows = rows.withColumn(_RANK, F.row_number().over(ranked))
+    rows = rows.withColumn(_WRITTEN, F.sum(_INCOMING).over(key))
+    rows = rows.withColumn(COPIES, F.sum(F.lit(1) - column(_INCOMING)).over(key))
+
     message = F.lit(f"the stored rows are not unique by {','.join(keys)}")
-    unique = F.when(column(COPIES) > 1, F.raise_error(message).cast("bigint")).otherwise(column(COPIES))
-    return merge(stored, placed.withColumn(COPIES, unique), keys, ordering, ordering_type)
+    kept = (
+        F.when(column(_WRITTEN) == 0, F.lit(True))
+        .when(column(COPIES) > 1, F.raise_error(message).cast("boolean"))
+        .otherwise(column(_RANK) == 1)
+    )
+    if partition_col:
+        rows = rows.withColumn(HOME, F.max(F.when(is_stored, column(partition_col))).over(key))
+        own = F.when(column(COPIES) > 0, column(HOME)).otherwise(column(partition_col))
+        rows = rows.withColumn(partition_col, own)
+    return rows.filter(kept).select(*map(column, names))

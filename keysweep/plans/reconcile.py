@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.functions.columns import align_keys, any_null, column, drop_meta, in_values, is_active
+from keysweep.functions.columns import align_keys, column, drop_meta, in_values, is_active
 from keysweep.functions.naming import utc_now
 from keysweep.operators.counts import ALWAYS, GATES, check_delete_fraction, gate_is_open
 from keysweep.operators.missing import flag_deleted, flag_rows, missing_keys, rows_with_keys
@@ -146,8 +146,6 @@ def _find_update_set(
     gone = stage_sized(missing, f"{folder}/missing_keys", options.broadcast_limit)
     narrow = active.select(*map(column, dict.fromkeys([*keys, spec.partition_col])))
     rows = rows_with_keys(narrow, gone, keys, null_safe)
-    if not null_safe:
-        rows = rows.unionByName(narrow.filter(any_null(keys)))
     # One row per partition directory, which the driver lists anyway.
     per_partition = rows.groupBy(column(spec.partition_col)).agg(F.count(F.lit(1))).collect()
     return _UpdateSet(gone, {partition: n for partition, n in per_partition})

@@ -111,6 +111,7 @@ def upsert(
     )
     if partition_col:
         rows = rows.withColumn(HOME, F.max(F.when(is_stored, column(partition_col))).over(key))
-        own = F.when(column(COPIES) > 0, column(HOME)).otherwise(column(partition_col))
-        rows = rows.withColumn(partition_col, own)
+        moved = ~is_stored & (column(COPIES) > 0)
+        home = F.when(moved, column(HOME)).otherwise(column(partition_col))
+        rows = rows.withColumn(partition_col, home)
     return rows.filter(kept).select(*map(column, names))

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 from keysweep.functions.columns import column, is_active
 from keysweep.spec import FLAG_COLUMN, PARTITION_COLUMN
 
+# Read in place of an empty field without quotes; a quoted one is the empty text.
+_NULL = "\0"
+
 
 def table_exists(spark: SparkSession, database: str, table: str) -> bool:
     return spark.catalog.tableExists(f"`{database}`.`{table}`")
@@ -55,7 +58,7 @@ def read_csv_snapshot(
 ) -> DataFrame:
     """A CSV snapshot with a header, in declared types.
 
-    Quoted fields may hold line breaks and doubled quotes. A file with line breaks in fields cannot be
+    Quoted fields may hold line breaks and doubled quotes; an empty field is NULL unless quoted. A file with line breaks in fields cannot be
     split between tasks, so write such snapshots as many files, or set ``multi_line`` to False where no
     field holds a line break.
     """
@@ -66,6 +69,7 @@ def read_csv_snapshot(
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
+        nullValue=_NULL,
         enforceSchema=False,
         mode="FAILFAST",
     )
@@ -77,7 +81,6 @@ def write_csv_snapshot(df: DataFrame, path: str) -> None:
         path,
         header=True,
         escape='"',
-        quoteAll=True,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )

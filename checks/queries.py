@@ -150,13 +150,14 @@ def update_set(
     by_key: bool = True,
     null_safe: bool = False,
 ) -> DataFrame:
-    rows = active(ks.drop_meta(target(spark, sf_dir)))
-    keys = source(spark, sf_dir)
+    """The rows to flag. ``by_key`` reads the target twice, so it works on a stored table."""
+    rows, keys = ks.drop_meta(target(spark, sf_dir)), source(spark, sf_dir)
     if by_key:
         folder = work_folder(spark, spec.name)
-        missing = ks.missing_by_key(rows, keys, spec.keys, folder, null_safe)
+        stored = stage(rows, f"{folder}/target")
+        missing = ks.missing_by_key(active(stored), keys, spec.keys, folder, null_safe)
     else:
-        missing = ks.missing_in_source(rows, keys, spec.keys, null_safe)
+        missing = ks.missing_in_source(active(rows), keys, spec.keys, null_safe)
     return ks.flag_deleted(missing)
 
 
@@ -295,6 +296,7 @@ def reconcile_all_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
         ks.table_specs(entries),
         {name: source(spark, sf_dir) for name, source in sources.items()},
         {name: published(spark, target(spark, sf_dir), name) for name, target in targets.items()},
+        parallel=len(targets),
         run_time=RUN_TIME,
         run_id=RUN_ID,
     )

@@ -22,7 +22,7 @@ from keysweep.sinks.publish import (
     write_partitioned,
 )
 from keysweep.sources.config import read_table_config, table_specs
-from keysweep.sources.jdbc import read_source_keys
+from keysweep.sources.jdbc import jdbc_source, password_profile, read_source_keys, token_profile
 from keysweep.sources.target import read_csv_snapshot, read_target, read_target_active, table_exists
 from keysweep.spec import TableSpec
 

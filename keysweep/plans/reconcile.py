@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -172,27 +173,32 @@ def reconcile_all(
     specs: Iterable[TableSpec],
     sources: Mapping[str, Source],
     paths: Mapping[str, str],
+    parallel: int = 1,
     **settings,
 ) -> list[Outcome]:
-    """One run per table, by its name. A failed table does not stop the others; their errors are raised
-    together at the end."""
+    """One run per table, by its name, ``parallel`` of them at a time.
+
+    A failed table does not stop the others; their errors are raised together at the end.
+    """
     specs = list(specs)
     for spec in specs:
         spec.check()
         if spec.name not in sources or spec.name not in paths:
             raise ValueError(f"no source or no path is given for table {spec.name}")
-    outcomes, errors = [], []
-    for spec in specs:
+
+    def run(spec: TableSpec) -> Outcome | Exception:
         try:
-            outcomes.append(
-                reconcile(spark, spec, sources[spec.name], paths[spec.name], **settings)
-            )
+            return reconcile(spark, spec, sources[spec.name], paths[spec.name], **settings)
         except Exception as error:
             error.add_note(f"table {spec.name}")
-            errors.append(error)
+            return error
+
+    with ThreadPoolExecutor(parallel) as pool:
+        results = list(pool.map(run, specs))
+    errors = [result for result in results if isinstance(result, Exception)]
     if errors:
         raise ExceptionGroup("some tables were not reconciled", errors)
-    return outcomes
+    return results
 
 
 def summary(spark: SparkSession, outcomes: Iterable[Outcome]) -> DataFrame:

@@ -7,8 +7,9 @@ parts even when ids have gaps or one value of the first key holds a large share
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -153,3 +154,19 @@ def read_source_keys(
     properties = {k: v for k, v in options.items() if k != "url"}
     rows = spark.read.jdbc(options["url"], query, predicates=predicates, properties=properties)
     return rows.toDF(*spec.keys)
+
+
+def jdbc_source(
+    spark: SparkSession,
+    spec: TableSpec,
+    profiles: Mapping[str, Profile],
+    settings: Mapping[str, str],
+    **split,
+) -> Callable[[int], DataFrame]:
+    """The source of a run: reads the keys once the size of the target is known.
+
+    The profile and its settings are checked now, before anything is read.
+    """
+    profile = profile_named(profiles, spec.profile)
+    connection_options(profile, settings)
+    return partial(read_source_keys, spark, spec, profile, settings, **split)

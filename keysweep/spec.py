@@ -38,6 +38,10 @@ class TableSpec:
     def record_key(self) -> str:
         return ",".join(self.keys)
 
+    def path(self, template: str, **parts: str) -> str:
+        """Where the replica lies: ``template`` with ``{system}``, ``{table}`` and ``parts`` filled in."""
+        return template.format(system=self.system, table=self.name, **parts)
+
     def check(self) -> None:
         """Refuse a table that cannot be reconciled, before anything is read."""
         if not self.keys:

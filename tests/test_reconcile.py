@@ -253,7 +253,8 @@ def test_flagging_in_place_equals_upserting_the_update_set(spark):
     assert per_flag == {None: 141, "0": 12457, "1": 2402}
 
 
-def test_all_tables_are_run_and_errors_are_raised_at_the_end(spark):
+@pytest.mark.parametrize("parallel", [1, 3])
+def test_all_tables_are_run_and_errors_are_raised_at_the_end(spark, parallel):
     paths = {}
     for name in ("good", "bad", "late"):
         paths[name] = work_folder(spark, name) + "/table"
@@ -261,7 +262,7 @@ def test_all_tables_are_run_and_errors_are_raised_at_the_end(spark):
     specs = [ks.TableSpec(name, ("k",), ordering="o") for name in paths]
     sources = {"good": keys(spark, 1, 6, 7, 8), "bad": keys(spark), "late": keys(spark, 1, 2, 6, 7)}
     with pytest.raises(ExceptionGroup) as raised:
-        reconcile_all(spark, specs, sources, paths)
+        reconcile_all(spark, specs, sources, paths, parallel=parallel)
     assert len(raised.value.exceptions) == 1
     assert raised.value.exceptions[0].__notes__ == ["table bad"]
     assert flagged_by(spark, paths["good"]) == {"b", "e"}

@@ -160,6 +160,21 @@ def test_options_reach_the_jdbc_reader(spark):
         ks.read_source_keys(spark, SPEC, PASSWORD, SECRETS, 10)
 
 
+def test_jdbc_source_checks_its_profile_first(spark):
+    profiles = {"one": PASSWORD}
+    with pytest.raises(ValueError, match="unknown source profile None"):
+        ks.jdbc_source(spark, SPEC, profiles, SECRETS)
+    spec = ks.TableSpec("lines", ("id", "line"), ordering="o", profile="one")
+    with pytest.raises(ValueError, match="lacks settings"):
+        ks.jdbc_source(spark, spec, profiles, {})
+    log = []
+    frames = {"keys": spark.createDataFrame([(1, 2)], "ID bigint, LINE int")}
+    source = ks.jdbc_source(Reader(frames, log), spec, profiles, SECRETS)
+    assert log == []
+    assert [tuple(row) for row in source(5).collect()] == [(1, 2)]
+    assert len(log) == 1
+
+
 def test_csv_keeps_quotes_line_breaks_blanks_and_zeros(spark):
     rows = [
         ("007", 'say "hi", ok', 1), ("1.10", "two\nlines\r\nand more", 2), ("", " padded ", 3),
@@ -225,6 +240,8 @@ def test_table_config_file(spark, tmp_path):
     }
     specs = {spec.name: spec for spec in ks.table_specs(read)}
     assert specs["lines"] == ks.TableSpec("lines", ("id", "line"), "o", "s", "one")
+    template = "s3://warehouse-{env}/{system}/{table}/"
+    assert specs["lines"].path(template, env="dev") == "s3://warehouse-dev/s/lines/"
     assert (specs["lines"].target_name, specs["lines"].record_key) == ("s_lines", "id,line")
     with pytest.raises(ValueError, match="no primary key"):
         specs["keyless"].check()

@@ -119,7 +119,7 @@ ORACLES: dict[str, str] = {
         "source_key_parts": f"""
             select cast({_SPREAD} as integer) as part, count(*) as n from src_pair group by 1""",
         "source_key_bounds": """
-            select min(transaction_id) as lo, max(transaction_id) as hi from src_pair""",
+            select min(transaction_id) as lo, max(transaction_id) as hi, count(*) as n from src_pair""",
         "csv_snapshot_scan": "select conv_id, turn, role, text from conversations",
         "target_active_scan": "select * from tgt_single where is_deleted <> '1'",
         "table_config": """

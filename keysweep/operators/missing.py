@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keysweep.functions.columns import any_null, column, is_active, none_null
-from keysweep.operators.joins import key_join
+from keysweep.functions.columns import any_null, column, is_active, none_null, quoted
+from keysweep.operators.joins import distinct_keys, key_join
 from keysweep.spec import DELETED, FLAG_COLUMN
 from keysweep.storage import BROADCAST_LIMIT, Sized, stage_sized
 
@@ -31,21 +31,26 @@ _MATCHED = "__matched"
 def left_join_flagged(
     target: DataFrame, source: DataFrame, keys: Sequence[str], flag_col: str = FLAG_COLUMN
 ) -> DataFrame:
-    """Every target row with its flag and, in ``<flag>_new``, the flag it should have.
+    """Every target row once, with its flag and, in ``<flag>_new``, the flag it should have.
 
-    A source key held several times repeats its target row, as a left join does.
+    The keys come first. Copies of a source key match like one.
     """
-    joined = target.alias("target").join(source.alias("source"), list(keys), "left")
-    unmatched = F.col(f"source.`{keys[0]}`").isNull()
-    new_flag = F.when(unmatched, F.lit(DELETED)).otherwise(F.col(f"target.`{flag_col}`"))
-    return joined.withColumn(f"{flag_col}_new", new_flag)
+    new_flag = f"{flag_col}_new"
+    left = target.filter(none_null(keys)).alias("target")
+    joined = left.join(distinct_keys(source, keys).alias("source"), list(keys), "left")
+    unmatched = F.col(f"source.{quoted(keys[0])}").isNull()
+    old_flag = F.col(f"target.{quoted(flag_col)}")
+    with_key = joined.withColumn(new_flag, F.when(unmatched, F.lit(DELETED)).otherwise(old_flag))
+    return with_key.unionByName(
+        target.filter(any_null(keys)).withColumn(new_flag, F.lit(DELETED))
+    )
 
 
 def missing_in_source(
     target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
     """Rows of ``target`` whose key is not in ``source``, by an anti join of whole rows."""
-    source_keys = source.select(*map(column, keys)).distinct()
+    source_keys = distinct_keys(source, keys)
     if null_safe:
         return key_join(target, source_keys, keys, "left_anti", null_safe=True)
     with_key = key_join(target.filter(none_null(keys)), source_keys, keys, "left_anti", null_safe=False)

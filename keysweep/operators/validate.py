@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.functions.columns import column
+from keysweep.operators.joins import distinct_keys
 
 TABLE, NAME, TYPE = "table_name", "column_name", "type_name"
 
@@ -75,7 +76,8 @@ def column_diff(existing: DataFrame, new: DataFrame) -> DataFrame:
     )
     kind = F.when(F.col("got").isNull(), "missing").when(F.col("expected").isNull(), "extra")
     different = _compared(existing, new).withColumn("kind", kind).filter(F.col("kind").isNotNull())
-    return different.join(changed, TABLE, "left_semi").select(TABLE, "kind", NAME)
+    changed_names = distinct_keys(changed, [TABLE])
+    return different.join(changed_names, TABLE, "left_semi").select(TABLE, "kind", NAME)
 
 
 def schema_diff(existing: DataFrame, new: DataFrame) -> DataFrame:

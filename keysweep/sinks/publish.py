@@ -72,6 +72,9 @@ def upsert_to_path(
     folder = folder or work_folder(spark, "upsert")
 
     filled = null_fill(incoming, stored.schema)
+    if dict(filled.dtypes)[partition_col] == "string":
+        # An empty text is stored in the directory of NULL, so it must count as NULL here too.
+        filled = filled.withColumn(partition_col, F.nullif(column(partition_col), F.lit("")))
     latest = stage(latest_wins(filled, keys, ordering, ordering_type), f"{folder}/latest")
     wanted = sized(latest.select(*map(column, keys)), broadcast_limit)
     narrow = stored.select(*map(column, dict.fromkeys([*keys, partition_col])))

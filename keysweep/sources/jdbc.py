@@ -1,8 +1,9 @@
 """Reading the key columns of a source table over JDBC.
 
 Only keys are selected, inside the database. Large tables are read over several connections, split
-either by the range of the first key or by the remainder of all integer keys. The remainders keep the
-parts even when ids have gaps or one value of the first key holds a large share of the rows.
+either by the range of the first key or by the remainder of all integer keys. Ranges can use an index,
+but come out even only for a single, dense key; remainders stay even when ids have gaps or one value of
+the first key holds a large share of the rows.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ FETCH_SIZE = 10_000
 PARALLEL_ABOVE = 1_000_000
 PARTITIONS = 10
 
-RANGE, REMAINDER = "range", "remainder"
+AUTO, RANGE, REMAINDER = "auto", "range", "remainder"
 
 
 @dataclass(frozen=True)
@@ -77,7 +78,8 @@ def key_query(table: str, keys: Sequence[str], quote: str = '"') -> str:
 
 def bounds_query(table: str, key: str, quote: str = '"') -> str:
     name = quoted(key, quote)
-    return f"(SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {quoted(table, quote)}) subq"
+    figures = f"MIN({name}) AS lo, MAX({name}) AS hi, COUNT(*) AS n"
+    return f"(SELECT {figures} FROM {quoted(table, quote)}) subq"
 
 
 def is_parallel(target_count: int) -> bool:
@@ -121,18 +123,30 @@ def remainder_predicates(
     return [f"MOD({' + '.join(terms)}, {partitions}) = {part}" for part in range(partitions)]
 
 
+def ranges_are_even(schema: T.StructType, low: object, high: object, rows: int) -> bool:
+    """Whether equal ranges of the first key must hold similar numbers of rows.
+
+    A single integer key is unique, so no range holds more rows than it has values; if at least half of
+    all values are taken, none holds more than twice the average.
+    """
+    return len(schema) == 1 and is_integral(schema[0].dataType) and high - low < 2 * rows
+
+
 def read_source_keys(
     spark: SparkSession,
     spec: TableSpec,
     profile: Profile,
     settings: Mapping[str, str],
     target_count: int,
-    split: str = RANGE,
+    split: str = AUTO,
     partitions: int = PARTITIONS,
 ) -> DataFrame:
-    """The keys of every source row, in parallel where the target is large."""
-    if split not in (RANGE, REMAINDER):
-        raise ValueError(f"unknown split {split!r}")
+    """The keys of every source row, in parallel where the target is large.
+
+    ``split`` says how: by range, by remainder, or by range only where that must come out even.
+    """
+    if split not in (AUTO, RANGE, REMAINDER):
+        raise ValueError(f"unknown split {split!r}, expected {AUTO}, {RANGE} or {REMAINDER}")
     options = connection_options(profile, settings)
     query = key_query(spec.name, spec.keys, profile.quote)
     plain = spark.read.format("jdbc").options(**options, dbtable=query)
@@ -140,20 +154,19 @@ def read_source_keys(
         return plain.load().toDF(*spec.keys)
 
     schema = plain.load().schema
-    if split == RANGE and can_range(schema.fields[0].dataType):
-        bounds = bounds_query(spec.name, spec.keys[0], profile.quote)
-        low, high = spark.read.format("jdbc").options(**options, dbtable=bounds).load().first()
-        if low is None:
-            return plain.load().toDF(*spec.keys)
-        parts = range_options(schema.fields[0].name, low, high, partitions)
-        return plain.options(**parts).load().toDF(*spec.keys)
-
     predicates = remainder_predicates(schema, partitions, profile.quote)
+    forced = split == RANGE or predicates is None
+    if can_range(schema[0].dataType) and (forced or (split == AUTO and len(schema) == 1)):
+        bounds = bounds_query(spec.name, spec.keys[0], profile.quote)
+        low, high, rows = spark.read.format("jdbc").options(**options, dbtable=bounds).load().first()
+        if low is not None and (forced or ranges_are_even(schema, low, high, rows)):
+            parts = range_options(schema[0].name, low, high, partitions)
+            return plain.options(**parts).load().toDF(*spec.keys)
     if predicates is None:
         return plain.load().toDF(*spec.keys)
     properties = {k: v for k, v in options.items() if k != "url"}
-    rows = spark.read.jdbc(options["url"], query, predicates=predicates, properties=properties)
-    return rows.toDF(*spec.keys)
+    split_rows = spark.read.jdbc(options["url"], query, predicates=predicates, properties=properties)
+    return split_rows.toDF(*spec.keys)
 
 
 def jdbc_source(

@@ -87,6 +87,16 @@ def test_anti_join_equals_flagged_left_join(spark):
     assert via_join.exceptAll(anti).count() == 0
 
 
+def test_flagged_left_join_has_every_target_row_once(spark):
+    rows = [(1, 1, "a", "0"), (1, None, "b", "0"), (2, 2, "c", "0"), (3, 3, "d", "x")]
+    target = spark.createDataFrame(rows, TARGET)
+    source = spark.createDataFrame([(3, 3), (3, 3), (1, 1), (1, None)], "a int, b int")
+    flagged = ks.left_join_flagged(target, source, KEYS)
+    assert flagged.columns == ["a", "b", "v", "is_deleted", "is_deleted_new"]
+    assert {r.v: r.is_deleted_new for r in flagged.collect()} == {"a": "0", "b": "1", "c": "1", "d": "x"}
+    assert flagged.count() == 4
+
+
 @pytest.mark.parametrize(
     ("query", "column", "expected"),
     [

@@ -112,3 +112,28 @@ def test_no_python_and_no_cross_join(spark, name):
     text = plan(q.QUERIES[name](spark, SF_DIR))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
+
+
+@pytest.mark.parametrize("form", [ks.missing_in_source, ks.left_join_flagged])
+def test_skew_of_whole_row_joins_is_split_at_run_time(spark, no_broadcast, form):
+    """A third of the target rows holds one key, and a third of the source rows another."""
+    target = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, 7, id) as a", "repeat(cast(id as string), 20) as v", "'0' as is_deleted"
+    )
+    source = spark.range(60_000).selectExpr("if(id % 3 = 0, 8, id) as a")
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = form(target, source, ["a"])
+        rows = found.collect()
+        assert "skew=true" in plan(found)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(rows) == (0 if form is ks.missing_in_source else 60_000)

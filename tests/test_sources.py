@@ -114,33 +114,52 @@ class Reader:
         return self.frames["keys"]
 
 
-def read(spark, count, key_type="bigint", bounds=(3, 90), **kwargs):
+def read(spark, count, key_type="bigint", bounds=(3, 90, 60), spec=SPEC, **kwargs):
     log = []
+    columns = [f"{key.upper()} {kind}" for key, kind in zip(spec.keys, (key_type, "int"))]
     frames = {
-        "keys": spark.createDataFrame([], f"ID {key_type}, LINE int"),
-        "bounds": spark.createDataFrame([bounds], "lo bigint, hi bigint"),
+        "keys": spark.createDataFrame([], ", ".join(columns)),
+        "bounds": spark.createDataFrame([bounds], "lo bigint, hi bigint, n bigint"),
     }
-    rows = jdbc.read_source_keys(Reader(frames, log), SPEC, PASSWORD, SECRETS, count, **kwargs)
-    assert rows.columns == ["id", "line"]
+    rows = jdbc.read_source_keys(Reader(frames, log), spec, PASSWORD, SECRETS, count, **kwargs)
+    assert rows.columns == list(spec.keys)
     return log
 
 
+ONE_KEY = ks.TableSpec("heads", ("id",), ordering="o")
+
+
 def test_small_target_is_read_over_one_connection(spark):
     (options,) = read(spark, 1_000_000)
     assert options["dbtable"] == '(SELECT "id", "line" FROM "lines") subq'
     assert "partitionColumn" not in options
 
 
-def test_large_target_is_split_by_the_range_of_the_first_key(spark):
-    options = read(spark, 1_000_001)[-1]
+@pytest.mark.parametrize("choice", [{"spec": ONE_KEY}, {"split": "range"}])
+def test_dense_single_key_or_choice_splits_by_range(spark, choice):
+    options = read(spark, 1_000_001, **choice)[-1]
     parts = {k: options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")}
     assert parts == {
         "partitionColumn": "ID", "lowerBound": "3", "upperBound": "90", "numPartitions": "10",
     }
 
 
-def test_empty_source_and_text_keys_fall_back(spark):
-    assert "partitionColumn" not in read(spark, 2_000_000, bounds=(None, None))[-1]
+def test_gaps_and_composite_keys_split_by_remainder(spark):
+    assert len(read(spark, 2_000_000, spec=ONE_KEY, bounds=(1, 1000, 400))[-1]["predicates"]) == 10
+    log = read(spark, 2_000_000)
+    assert len(log[-1]["predicates"]) == 10
+    assert not any("MIN(" in options["dbtable"] for options in log)
+
+
+def test_one_connection_remains_where_nothing_splits(spark):
+    options = read(spark, 2_000_000, key_type="string", spec=ONE_KEY)[-1]
+    assert "predicates" not in options and "partitionColumn" not in options
+    empty = read(spark, 2_000_000, key_type="double", spec=ONE_KEY, bounds=(None, None, 0))[-1]
+    assert "predicates" not in empty and "partitionColumn" not in empty
+    assert "partitionColumn" in read(spark, 2_000_000, key_type="double", spec=ONE_KEY)[-1]
+
+
+def test_other_integer_keys_split_text_keys(spark):
     options = read(spark, 2_000_000, key_type="string")[-1]
     assert len(options["predicates"]) == 10
     assert "LINE" in options["predicates"][0] and "ID" not in options["predicates"][0]

@@ -56,6 +56,21 @@ def test_one_key(spark, stored, incoming, expected):
     assert after == sorted([expected, other], key=repr)
 
 
+def test_empty_partition_text_is_null(spark):
+    stored = spark.createDataFrame([(1, 1, "a", None), (2, 1, "b", "A")], SCHEMA)
+    incoming = spark.createDataFrame([(3, 1, "c", "")], SCHEMA)
+    for limit in LIMITS:
+        after = rows_of(at_path(spark, stored, incoming, limit))
+        assert after == [(1, 1, "a", None), (2, 1, "b", "A"), (3, 1, "c", None)]
+
+
+def test_partition_values_that_need_escaping(spark):
+    names = ["a/b=c", "x y%", "007", "7", "Ä'\"", "a:b"]
+    stored = spark.createDataFrame([(i, 1, "old", p) for i, p in enumerate(names)], SCHEMA)
+    incoming = spark.createDataFrame([(i, 2, "new", "Z") for i in range(len(names))], SCHEMA)
+    assert everywhere(spark, stored, incoming) == [(i, 2, "new", p) for i, p in enumerate(names)]
+
+
 def test_new_keys_and_repeated_incoming_keys(spark):
     stored = spark.createDataFrame([(1, 1, "a", "A")], SCHEMA)
     incoming = spark.createDataFrame(

@@ -5,8 +5,7 @@ Two ways give the same rows:
 * ``missing_in_source`` anti-joins whole target rows. It is one lazy plan, and shuffles every column of
   the target unless the source keys are small.
 * ``missing_keys`` compares keys alone and returns the distinct missing ones; ``rows_with_keys`` and
-  ``flag_rows`` then find their rows. Only key columns are shuffled, and as the comparison is an
-  aggregate, copies of one key shrink to one row per task before the shuffle, on both sides.
+  ``flag_rows`` then find their rows. Only key columns are shuffled.
 
 With ``=`` keys, a target row with a NULL in any key part matches nothing and is always missing. Such
 rows never need a partner, so they skip the joins and cannot pile up in one shuffle partition.
@@ -15,6 +14,7 @@ rows never need a partner, so they skip the joins and cannot pile up in one shuf
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,12 @@ from keysweep.operators.joins import distinct_keys, key_join
 from keysweep.spec import DELETED, FLAG_COLUMN
 from keysweep.storage import BROADCAST_LIMIT, Sized, stage_sized
 
+# Keys are counted in this many buckets. A table is even if its fullest bucket holds at most this many
+# times the average, or few enough rows for any task.
+BUCKETS = 1024
+EVEN_FACTOR = 4
+EVEN_ROWS = 1_000_000
+
 _IN_SOURCE = "__in_source"
 _MATCHED = "__matched"
 
@@ -57,21 +63,57 @@ def missing_in_source(
     return with_key.unionByName(target.filter(any_null(keys)))
 
 
+@dataclass(frozen=True)
+class Spread:
+    """How the rows of a table spread over its keys."""
+
+    rows: int
+    largest_bucket: int
+
+    @property
+    def even(self) -> bool:
+        """Whether no key can hold many more rows than others: no key exceeds its bucket."""
+        return self.largest_bucket <= max(EVEN_FACTOR * self.rows // BUCKETS, EVEN_ROWS)
+
+
+def key_spread(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> Spread:
+    """The rows of ``df``, in all and in the fullest of a fixed number of hash buckets of its keys.
+
+    Keys with a NULL part are in no bucket unless they can match. Each task counts by itself; only the
+    bucket counts are shuffled.
+    """
+    bucket = F.pmod(F.xxhash64(*map(column, keys)), F.lit(BUCKETS))
+    bucket = bucket if null_safe else F.when(none_null(keys), bucket)
+    per_bucket = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    in_bucket = F.when(F.col("bucket").isNotNull(), F.col("n"))
+    rows, largest = per_bucket.agg(F.sum("n"), F.max(in_bucket)).first()
+    return Spread(rows or 0, largest or 0)
+
+
 def missing_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    even: bool = False,
 ) -> DataFrame:
     """Distinct keys of ``target`` that are not in ``source``.
 
     With ``=`` keys, those with a NULL part are left out: all of them are missing, see ``any_null``.
+    The comparison is an aggregate, so copies of one key shrink to one row per task before the shuffle, on
+    both sides. If ``key_spread`` has shown both sides to be ``even``, there is nothing to shrink, and an
+    anti join of the keys takes less work.
     """
     columns = [column(k) for k in keys]
-    sides = [
-        df.select(*columns, F.lit(is_source).alias(_IN_SOURCE))
-        for df, is_source in ((target, False), (source, True))
-    ]
+    theirs, ours = source.select(*columns), target.select(*columns)
     if not null_safe:
-        sides = [side.filter(none_null(keys)) for side in sides]
-    found = sides[0].unionByName(sides[1]).groupBy(*columns).agg(F.max(_IN_SOURCE).alias(_IN_SOURCE))
+        theirs, ours = theirs.filter(none_null(keys)), ours.filter(none_null(keys))
+    if even:
+        return key_join(ours, theirs, keys, "left_anti", null_safe).distinct()
+    both = ours.withColumn(_IN_SOURCE, F.lit(False)).unionByName(
+        theirs.withColumn(_IN_SOURCE, F.lit(True))
+    )
+    found = both.groupBy(*columns).agg(F.max(_IN_SOURCE).alias(_IN_SOURCE))
     return found.filter(~F.col(_IN_SOURCE)).select(*columns)
 
 
@@ -105,9 +147,16 @@ def missing_by_key(
     folder: str,
     null_safe: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
+    even: bool | None = None,
 ) -> DataFrame:
-    """The rows of ``missing_in_source``, found through their staged keys."""
-    gone = missing_keys(target, source, keys, null_safe)
+    """The rows of ``missing_in_source``, found through their staged keys.
+
+    Both sides are read more than once, so they should be stored tables. Unless ``even`` is given, the
+    spread of their keys is measured.
+    """
+    if even is None:
+        even = all(key_spread(side, keys, null_safe).even for side in (source, target))
+    gone = missing_keys(target, source, keys, null_safe, even)
     staged = stage_sized(gone, f"{folder}/missing_keys", broadcast_limit)
     return rows_with_keys(target, staged, keys, null_safe)
 

@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from keysweep.functions.columns import align_keys, column, drop_meta, in_values, is_active
 from keysweep.functions.naming import utc_now
 from keysweep.operators.counts import ALWAYS, GATES, check_delete_fraction, gate_is_open
-from keysweep.operators.missing import flag_deleted, flag_rows, missing_keys, rows_with_keys
+from keysweep.operators.missing import (
+    flag_deleted,
+    flag_rows,
+    key_spread,
+    missing_keys,
+    rows_with_keys,
+)
 from keysweep.operators.validate import check_columns, check_required, check_schema
 from keysweep.sinks.audit import (
     COMPLETED,
@@ -107,16 +113,19 @@ def reconcile(
         stored = read_target(spark, path, partition_col=spec.partition_col)
         check_required(stored, [*spec.keys, spec.flag_col, spec.partition_col, spec.ordering])
         active = stored.filter(is_active(spec.flag_col, options.null_flag_is_active))
-        counts[1] = active.count()
+        target_spread = key_spread(active, spec.keys, options.null_safe_keys)
+        counts[1] = target_spread.rows
         rows = source(counts[1]) if callable(source) else source
         source_keys = align_keys(rows, stored.schema, spec.keys)
         if options.snapshot_source:
             source_keys = stage(source_keys, f"{folder}/source_keys")
-        counts[0] = source_keys.count()
+        source_spread = key_spread(source_keys, spec.keys, options.null_safe_keys)
+        counts[0] = source_spread.rows
 
         update = None
         if gate_is_open(counts[0] - counts[1], options.gate):
-            update = _find_update_set(active, source_keys, spec, options, folder)
+            even = target_spread.even and source_spread.even
+            update = _find_update_set(active, source_keys, even, spec, options, folder)
             check_delete_fraction(update.size, counts[1], options.max_delete_fraction)
             bare = drop_meta(stored, spec.meta_prefix)
             update_rows = flag_deleted(bare, spec.flag_col)
@@ -139,11 +148,16 @@ def reconcile(
 
 
 def _find_update_set(
-    active: DataFrame, source_keys: DataFrame, spec: TableSpec, options: Options, folder: str
+    active: DataFrame,
+    source_keys: DataFrame,
+    even: bool,
+    spec: TableSpec,
+    options: Options,
+    folder: str,
 ) -> _UpdateSet:
     keys = list(spec.keys)
     null_safe = options.null_safe_keys
-    missing = missing_keys(active, source_keys, keys, null_safe)
+    missing = missing_keys(active, source_keys, keys, null_safe, even)
     gone = stage_sized(missing, f"{folder}/missing_keys", options.broadcast_limit)
     narrow = active.select(*map(column, dict.fromkeys([*keys, spec.partition_col])))
     rows = rows_with_keys(narrow, gone, keys, null_safe)

@@ -10,7 +10,16 @@ import keysweep as ks
 from checks import fixtures as fx
 from checks import queries as q
 from keysweep.functions.columns import align_keys
-from keysweep.operators.missing import flag_rows, missing_by_key, missing_in_source, missing_keys
+from keysweep.operators.missing import (
+    BUCKETS,
+    EVEN_ROWS,
+    Spread,
+    flag_rows,
+    key_spread,
+    missing_by_key,
+    missing_in_source,
+    missing_keys,
+)
 from keysweep.storage import BROADCAST_LIMIT, sized, stage, work_folder
 
 KEYS = ["a", "b"]
@@ -53,8 +62,14 @@ pairs = st.lists(st.tuples(part, part), max_size=12)
 @settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
-@given(target=pairs, source=pairs, null_safe=st.booleans(), limit=st.sampled_from(LIMITS))
-def test_agrees_with_brute_force(spark, target, source, null_safe, limit):
+@given(
+    target=pairs,
+    source=pairs,
+    null_safe=st.booleans(),
+    limit=st.sampled_from(LIMITS),
+    even=st.sampled_from([True, False, None]),
+)
+def test_agrees_with_brute_force(spark, target, source, null_safe, limit, even):
     target = [(*key, str(i), "0") for i, key in enumerate(target)]
 
     def found(key):
@@ -66,8 +81,10 @@ def test_agrees_with_brute_force(spark, target, source, null_safe, limit):
     assert rows_of(missing_in_source(rows, keys, KEYS, null_safe)) == expected
 
     folder = work_folder(spark)
-    assert rows_of(missing_by_key(rows, keys, KEYS, folder, null_safe, limit)) == expected
-    gone = sized(stage(missing_keys(rows, keys, KEYS, null_safe), folder + "/gone"), limit)
+    assert rows_of(missing_by_key(rows, keys, KEYS, folder, null_safe, limit, even)) == expected
+    found_keys = missing_keys(rows, keys, KEYS, null_safe, bool(even))
+    gone = sized(stage(found_keys, folder + "/gone"), limit)
+    assert gone.rows.distinct().count() == gone.rows.count()
     after = flag_rows(rows, gone, KEYS, null_safe=null_safe)
     assert after.columns == rows.columns
     gone_ids = {row[2] for row in expected}
@@ -127,8 +144,30 @@ def test_hot_keys_and_hot_nulls(spark):
     assert len(expected) > 6000
     assert sorted(r.v for r in missing_in_source(target, source, ["a"]).collect()) == expected
     for limit in LIMITS:
-        found = missing_by_key(target, source, ["a"], work_folder(spark), broadcast_limit=limit)
-        assert sorted(r.v for r in found.collect()) == expected
+        for even in (True, False):
+            found = missing_by_key(
+                target, source, ["a"], work_folder(spark), broadcast_limit=limit, even=even
+            )
+            assert sorted(r.v for r in found.collect()) == expected
+
+
+def test_key_spread(spark):
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 5, id) as a", "cast(null as int) as b")
+    hot = key_spread(df, ["a"])
+    assert hot.rows == 30_000
+    assert 10_000 <= hot.largest_bucket <= 10_100
+    assert key_spread(df, ["b"]) == Spread(30_000, 0)
+    assert key_spread(df, ["b"], null_safe=True) == Spread(30_000, 30_000)
+    assert key_spread(df.filter("false"), ["a"]) == Spread(0, 0)
+    assert 10 <= key_spread(spark.range(30_000), ["id"]).largest_bucket <= 80
+
+
+def test_uneven_tables_are_told_from_even_ones():
+    rows = 1000 * EVEN_ROWS
+    assert Spread(rows, 2 * rows // BUCKETS).even
+    assert not Spread(rows, rows // 3).even
+    assert not Spread(rows, rows // 100).even
+    assert Spread(2 * EVEN_ROWS, EVEN_ROWS).even
 
 
 def test_column_order_is_kept(spark):

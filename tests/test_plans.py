@@ -60,6 +60,16 @@ def test_comparison_reads_and_shuffles_keys_only(spark, pair, no_broadcast):
     assert text.index("HashAggregate") < text.index("Exchange") < text.rindex("HashAggregate")
 
 
+def test_comparison_of_even_sides_is_a_join_of_keys(spark, pair, no_broadcast):
+    path, source = pair
+    target = ks.read_target_active(spark, path)
+    text = plan(missing_keys(target, source, fx.PAIR.keys, even=True))
+    keys = set(fx.PAIR.keys)
+    assert read_columns(text) == [keys | {"is_deleted"}, keys]
+    assert "LeftAnti" in text
+    assert len(re.findall(r"Sort \[[^\n]*\n[^\n]*Exchange hashpartitioning", text)) == 2
+
+
 def test_small_update_set_moves_no_target_row(spark, pair):
     path, source = pair
     stored = ks.read_target(spark, path)
@@ -117,10 +127,10 @@ def test_no_python_and_no_cross_join(spark, name):
 @pytest.mark.parametrize("form", [ks.missing_in_source, ks.left_join_flagged])
 def test_skew_of_whole_row_joins_is_split_at_run_time(spark, no_broadcast, form):
     """A third of the target rows holds one key, and a third of the source rows another."""
-    target = spark.range(60_000).selectExpr(
-        "if(id % 3 = 0, 7, id) as a", "repeat(cast(id as string), 20) as v", "'0' as is_deleted"
+    target = spark.range(300_000).selectExpr(
+        "if(id % 3 = 0, 7, id) as a", "cast(id as string) as v", "'0' as is_deleted"
     )
-    source = spark.range(60_000).selectExpr("if(id % 3 = 0, 8, id) as a")
+    source = spark.range(300_000).selectExpr("if(id % 3 = 0, 8, id) as a")
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
@@ -136,4 +146,4 @@ def test_skew_of_whole_row_joins_is_split_at_run_time(spark, no_broadcast, form)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    assert len(rows) == (0 if form is ks.missing_in_source else 60_000)
+    assert len(rows) == (300_000 if form is ks.left_join_flagged else 0)

@@ -27,8 +27,10 @@ HEADLINE = (
     "missing_in_source_single",
     "missing_in_source_pair",
     "missing_in_source_pair_wide",
+    "missing_in_source_pair_by_key",
     "missing_in_source_five",
     "missing_in_source_five_wide",
+    "missing_in_source_five_by_key",
     "missing_in_source_five_nullsafe",
     "run_counts",
     "latest_wins_pair",

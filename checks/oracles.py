@@ -156,9 +156,12 @@ ORACLES: dict[str, str] = {
         "missing_in_source_single": _missing("single", f"* {_META}"),
         "missing_in_source_pair": _missing("pair"),
         "missing_in_source_pair_wide": _missing("pair"),
+        "missing_in_source_pair_by_key": _missing("pair"),
         "missing_in_source_five": _missing("five"),
         "missing_in_source_five_wide": _missing("five"),
+        "missing_in_source_five_by_key": _missing("five"),
         "missing_in_source_five_nullsafe": _missing("five", equal=_SAME_FIVE),
+        "missing_in_source_five_nullsafe_by_key": _missing("five", equal=_SAME_FIVE),
         "run_counts": f"""
             select source_count, target_count, source_count - target_count as count_diff
             from (select {_counts("single")})""",

@@ -16,7 +16,7 @@ from keysweep.operators import validate
 from keysweep.operators.counts import SOURCE_EXCEEDS_TARGET, gate_is_open
 from keysweep.sources import config, jdbc
 from keysweep.sources.target import write_csv_snapshot
-from keysweep.storage import stage, work_folder
+from keysweep.storage import BROADCAST_LIMIT, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,26 +147,37 @@ def update_set(
     source: Query,
     spark: SparkSession,
     sf_dir: str,
-    by_key: bool = True,
     null_safe: bool = False,
+    by_key: bool = False,
 ) -> DataFrame:
-    """The rows to flag. ``by_key`` reads the target twice, so it works on a stored table."""
-    rows, keys = ks.drop_meta(target(spark, sf_dir)), source(spark, sf_dir)
-    if by_key:
-        folder = work_folder(spark, spec.name)
-        stored = stage(rows, f"{folder}/target")
-        missing = ks.missing_by_key(active(stored), keys, spec.keys, folder, null_safe)
-    else:
-        missing = ks.missing_in_source(active(rows), keys, spec.keys, null_safe)
-    return ks.flag_deleted(missing)
+    """The rows to flag, found in the way their sizes suggest, or by comparing keys in any case."""
+    rows, keys = active(ks.drop_meta(target(spark, sf_dir))), source(spark, sf_dir)
+    folder = work_folder(spark, spec.name)
+    limit, even = (-1, False) if by_key else (BROADCAST_LIMIT, None)
+    return ks.flag_deleted(
+        ks.find_missing(
+            rows, keys, spec.keys, folder, null_safe, limit, even, target_is_stored=False
+        )
+    )
+
+
+def update_set_wide(
+    spec: ks.TableSpec, target: Query, source: Query, spark: SparkSession, sf_dir: str
+) -> DataFrame:
+    """The rows to flag, as one lazy anti join of whole rows."""
+    rows, keys = active(ks.drop_meta(target(spark, sf_dir))), source(spark, sf_dir)
+    return ks.flag_deleted(ks.missing_in_source(rows, keys, spec.keys))
 
 
 missing_in_source_single = partial(update_set, fx.SINGLE, fx.tgt_single, fx.src_single)
 missing_in_source_pair = partial(update_set, fx.PAIR, fx.tgt_pair, fx.src_pair)
-missing_in_source_pair_wide = partial(missing_in_source_pair, by_key=False)
+missing_in_source_pair_wide = partial(update_set_wide, fx.PAIR, fx.tgt_pair, fx.src_pair)
+missing_in_source_pair_by_key = partial(missing_in_source_pair, by_key=True)
 missing_in_source_five = partial(update_set, fx.FIVE, fx.tgt_five, fx.src_five)
-missing_in_source_five_wide = partial(missing_in_source_five, by_key=False)
+missing_in_source_five_wide = partial(update_set_wide, fx.FIVE, fx.tgt_five, fx.src_five)
+missing_in_source_five_by_key = partial(missing_in_source_five, by_key=True)
 missing_in_source_five_nullsafe = partial(missing_in_source_five, null_safe=True)
+missing_in_source_five_nullsafe_by_key = partial(missing_in_source_five_nullsafe, by_key=True)
 
 
 # Counts and gate -------------------------------------------------------------------------------
@@ -319,9 +330,12 @@ QUERIES: dict[str, Query] = {
     "missing_in_source_single": missing_in_source_single,
     "missing_in_source_pair": missing_in_source_pair,
     "missing_in_source_pair_wide": missing_in_source_pair_wide,
+    "missing_in_source_pair_by_key": missing_in_source_pair_by_key,
     "missing_in_source_five": missing_in_source_five,
     "missing_in_source_five_wide": missing_in_source_five_wide,
+    "missing_in_source_five_by_key": missing_in_source_five_by_key,
     "missing_in_source_five_nullsafe": missing_in_source_five_nullsafe,
+    "missing_in_source_five_nullsafe_by_key": missing_in_source_five_nullsafe_by_key,
     "run_counts": run_counts,
     "gate_open": gate_open,
     "gate_closed": gate_closed,

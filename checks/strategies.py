@@ -64,7 +64,7 @@ def measure(spark: SparkSession, sf_dir: str, copies: int) -> None:
     def by_key(even: bool) -> float:
         def run() -> None:
             place = work_folder(spark, "by_key")
-            evaluate(ks.missing_by_key(active(), source, keys, place, even=even))
+            evaluate(ks.find_missing(active(), source, keys, place, even=even))
 
         return median(run)
 

@@ -4,10 +4,10 @@ from keysweep.functions.columns import drop_meta, null_fill, stringify
 from keysweep.operators.counts import run_counts
 from keysweep.operators.latest import latest_wins
 from keysweep.operators.missing import (
+    find_missing,
     flag_deleted,
     flag_rows,
     left_join_flagged,
-    missing_by_key,
     missing_in_source,
     missing_keys,
 )

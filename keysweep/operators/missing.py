@@ -1,6 +1,6 @@
 """Which target rows have a key that the source no longer holds.
 
-Two ways give the same rows:
+Two ways give the same rows, and ``find_missing`` chooses by measured sizes:
 
 * ``missing_in_source`` anti-joins whole target rows. It is one lazy plan, and shuffles every column of
   the target unless the source keys are small.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from keysweep.functions.columns import any_null, column, is_active, none_null, quoted
 from keysweep.operators.joins import distinct_keys, key_join
 from keysweep.spec import DELETED, FLAG_COLUMN
-from keysweep.storage import BROADCAST_LIMIT, Sized, stage_sized
+from keysweep.storage import BROADCAST_LIMIT, Sized, row_bytes, stage, stage_sized
 
 # Keys are counted in this many buckets. A table is even if its fullest bucket holds at most this many
 # times the average, or few enough rows for any task.
@@ -56,11 +56,11 @@ def missing_in_source(
     target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
     """Rows of ``target`` whose key is not in ``source``, by an anti join of whole rows."""
-    source_keys = distinct_keys(source, keys)
     if null_safe:
-        return key_join(target, source_keys, keys, "left_anti", null_safe=True)
-    with_key = key_join(target.filter(none_null(keys)), source_keys, keys, "left_anti", null_safe=False)
-    return with_key.unionByName(target.filter(any_null(keys)))
+        return key_join(target, distinct_keys(source, keys), keys, "left_anti", null_safe)
+    with_key = target.filter(none_null(keys))
+    unmatched = key_join(with_key, distinct_keys(source, keys), keys, "left_anti", null_safe)
+    return unmatched.unionByName(target.filter(any_null(keys)))
 
 
 @dataclass(frozen=True)
@@ -69,6 +69,7 @@ class Spread:
 
     rows: int
     largest_bucket: int
+    broadcast_bytes: int
 
     @property
     def even(self) -> bool:
@@ -77,17 +78,20 @@ class Spread:
 
 
 def key_spread(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> Spread:
-    """The rows of ``df``, in all and in the fullest of a fixed number of hash buckets of its keys.
+    """The rows of ``df``, in all and in the fullest of a fixed number of hash buckets of its keys, and the
+    size of its keys as a broadcast table.
 
     Keys with a NULL part are in no bucket unless they can match. Each task counts by itself; only the
     bucket counts are shuffled.
     """
     bucket = F.pmod(F.xxhash64(*map(column, keys)), F.lit(BUCKETS))
     bucket = bucket if null_safe else F.when(none_null(keys), bucket)
-    per_bucket = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    per_bucket = df.groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(keys)).alias("bytes")
+    )
     in_bucket = F.when(F.col("bucket").isNotNull(), F.col("n"))
-    rows, largest = per_bucket.agg(F.sum("n"), F.max(in_bucket)).first()
-    return Spread(rows or 0, largest or 0)
+    figures = per_bucket.agg(F.sum("n"), F.max(in_bucket), F.sum("bytes")).first()
+    return Spread(*[figure or 0 for figure in figures])
 
 
 def missing_keys(
@@ -140,7 +144,7 @@ def rows_with_keys(
     return with_key.unionByName(df.filter(any_null(keys)))
 
 
-def missing_by_key(
+def find_missing(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
@@ -148,19 +152,35 @@ def missing_by_key(
     null_safe: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
     even: bool | None = None,
+    target_is_stored: bool = True,
 ) -> DataFrame:
-    """The rows of ``missing_in_source``, found through their staged keys.
+    """The rows of ``missing_in_source``, in the way that suits the sizes of both sides.
 
-    Both sides are read more than once, so they should be stored tables. Unless ``even`` is given, the
-    spread of their keys is measured.
+    Source keys that fit are broadcast, and the target is read once. Else the missing keys are found and
+    staged in ``folder`` before their rows are read; a target that is not a stored table is staged first.
+    Both is measured, unless ``even`` says that the keys are to be compared, and how.
     """
     if even is None:
-        even = all(key_spread(side, keys, null_safe).even for side in (source, target))
+        source_spread = key_spread(source, keys, null_safe)
+        if source_spread.broadcast_bytes <= broadcast_limit:
+            return _missing_in_small(target, source, keys, null_safe)
+    if not target_is_stored:
+        target = stage(target, f"{folder}/target")
+    if even is None:
+        even = source_spread.even and key_spread(target, keys, null_safe).even
     gone = missing_keys(target, source, keys, null_safe, even)
     staged = stage_sized(gone, f"{folder}/missing_keys", broadcast_limit)
     return rows_with_keys(target, staged, keys, null_safe)
 
 
+def _missing_in_small(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool
+) -> DataFrame:
+    """The rows of ``missing_in_source`` for a source that was measured to fit a broadcast."""
+    source_keys = source.select(*map(column, keys)).hint("broadcast")
+    return key_join(target, source_keys, keys, "left_anti", null_safe)
+
+
 def flag_deleted(rows: DataFrame, flag_col: str = FLAG_COLUMN) -> DataFrame:
     """``rows`` with the flag of a deleted row, in place."""
     return rows.withColumn(flag_col, F.lit(DELETED))

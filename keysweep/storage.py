@@ -8,9 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.functions.columns import column
@@ -38,11 +39,14 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_bytes(names: Sequence[str]) -> Column:
+    """Estimated size of a row in a broadcast hash table, on the safe side."""
+    text = [F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) for c in names]
+    return sum(text, F.lit(ROW_OVERHEAD + FIELD_OVERHEAD * len(names))).cast("bigint")
+
+
 def broadcast_bytes(df: DataFrame) -> int:
-    """Estimated size of ``df`` as a broadcast table: an upper bound from its row count and text lengths."""
-    text = [F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) for c in df.columns]
-    row_bytes = sum(text, F.lit(ROW_OVERHEAD + FIELD_OVERHEAD * len(df.columns)))
-    return df.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0
+    return df.agg(F.sum(row_bytes(df.columns))).first()[0] or 0
 
 
 @dataclass(frozen=True)

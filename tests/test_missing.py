@@ -16,11 +16,11 @@ from keysweep.operators.missing import (
     Spread,
     flag_rows,
     key_spread,
-    missing_by_key,
+    find_missing,
     missing_in_source,
     missing_keys,
 )
-from keysweep.storage import BROADCAST_LIMIT, sized, stage, work_folder
+from keysweep.storage import BROADCAST_LIMIT, broadcast_bytes, sized, stage, work_folder
 
 KEYS = ["a", "b"]
 TARGET = "a int, b int, v string, is_deleted string"
@@ -51,8 +51,12 @@ def test_edge_keys(spark, target, source, null_safe, flagged):
     expected = [(*target, "x", "0")] if flagged else []
     assert rows_of(missing_in_source(rows, keys, KEYS, null_safe)) == expected
     for limit in LIMITS:
-        folder = work_folder(spark)
-        assert rows_of(missing_by_key(rows, keys, KEYS, folder, null_safe, limit)) == expected
+        for even in (None, True, False):
+            folder = work_folder(spark)
+            found = find_missing(rows, keys, KEYS, folder, null_safe, limit, even)
+            assert rows_of(found) == expected
+            found = find_missing(rows, keys, KEYS, folder, null_safe, limit, even, False)
+            assert rows_of(found) == expected
 
 
 part = st.one_of(st.none(), st.integers(0, 2))
@@ -81,7 +85,7 @@ def test_agrees_with_brute_force(spark, target, source, null_safe, limit, even):
     assert rows_of(missing_in_source(rows, keys, KEYS, null_safe)) == expected
 
     folder = work_folder(spark)
-    assert rows_of(missing_by_key(rows, keys, KEYS, folder, null_safe, limit, even)) == expected
+    assert rows_of(find_missing(rows, keys, KEYS, folder, null_safe, limit, even)) == expected
     found_keys = missing_keys(rows, keys, KEYS, null_safe, bool(even))
     gone = sized(stage(found_keys, folder + "/gone"), limit)
     assert gone.rows.distinct().count() == gone.rows.count()
@@ -144,8 +148,8 @@ def test_hot_keys_and_hot_nulls(spark):
     assert len(expected) > 6000
     assert sorted(r.v for r in missing_in_source(target, source, ["a"]).collect()) == expected
     for limit in LIMITS:
-        for even in (True, False):
-            found = missing_by_key(
+        for even in (True, False, None):
+            found = find_missing(
                 target, source, ["a"], work_folder(spark), broadcast_limit=limit, even=even
             )
             assert sorted(r.v for r in found.collect()) == expected
@@ -156,18 +160,19 @@ def test_key_spread(spark):
     hot = key_spread(df, ["a"])
     assert hot.rows == 30_000
     assert 10_000 <= hot.largest_bucket <= 10_100
-    assert key_spread(df, ["b"]) == Spread(30_000, 0)
-    assert key_spread(df, ["b"], null_safe=True) == Spread(30_000, 30_000)
-    assert key_spread(df.filter("false"), ["a"]) == Spread(0, 0)
+    assert hot.broadcast_bytes == broadcast_bytes(df.select("a"))
+    assert key_spread(df, ["b"]).largest_bucket == 0
+    assert key_spread(df, ["b"], null_safe=True).largest_bucket == 30_000
+    assert key_spread(df.filter("false"), ["a"]) == Spread(0, 0, 0)
     assert 10 <= key_spread(spark.range(30_000), ["id"]).largest_bucket <= 80
 
 
 def test_uneven_tables_are_told_from_even_ones():
     rows = 1000 * EVEN_ROWS
-    assert Spread(rows, 2 * rows // BUCKETS).even
-    assert not Spread(rows, rows // 3).even
-    assert not Spread(rows, rows // 100).even
-    assert Spread(2 * EVEN_ROWS, EVEN_ROWS).even
+    assert Spread(rows, 2 * rows // BUCKETS, 0).even
+    assert not Spread(rows, rows // 3, 0).even
+    assert not Spread(rows, rows // 100, 0).even
+    assert Spread(2 * EVEN_ROWS, EVEN_ROWS, 0).even
 
 
 def test_column_order_is_kept(spark):
@@ -176,7 +181,7 @@ def test_column_order_is_kept(spark):
     for found in (
         missing_in_source(rows, keys, KEYS),
         missing_in_source(rows, keys, KEYS, null_safe=True),
-        missing_by_key(rows, keys, KEYS, work_folder(spark)),
+        find_missing(rows, keys, KEYS, work_folder(spark)),
     ):
         assert ks.flag_deleted(found).columns == rows.columns
 

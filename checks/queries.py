@@ -149,6 +149,7 @@ def update_set(
     sf_dir: str,
     null_safe: bool = False,
     by_key: bool = False,
+    target_is_stored: bool = True,
 ) -> DataFrame:
     """The rows to flag, found in the way their sizes suggest, or by comparing keys in any case."""
     rows, keys = active(ks.drop_meta(target(spark, sf_dir))), source(spark, sf_dir)
@@ -156,7 +157,7 @@ def update_set(
     limit, even = (-1, False) if by_key else (BROADCAST_LIMIT, None)
     return ks.flag_deleted(
         ks.find_missing(
-            rows, keys, spec.keys, folder, null_safe, limit, even, target_is_stored=False
+            rows, keys, spec.keys, folder, null_safe, limit, even, target_is_stored
         )
     )
 
@@ -170,7 +171,10 @@ def update_set_wide(
 
 
 missing_in_source_single = partial(update_set, fx.SINGLE, fx.tgt_single, fx.src_single)
-missing_in_source_pair = partial(update_set, fx.PAIR, fx.tgt_pair, fx.src_pair)
+# The pair target is a result of its own, the others are projections of stored tables.
+missing_in_source_pair = partial(
+    update_set, fx.PAIR, fx.tgt_pair, fx.src_pair, target_is_stored=False
+)
 missing_in_source_pair_wide = partial(update_set_wide, fx.PAIR, fx.tgt_pair, fx.src_pair)
 missing_in_source_pair_by_key = partial(missing_in_source_pair, by_key=True)
 missing_in_source_five = partial(update_set, fx.FIVE, fx.tgt_five, fx.src_five)

@@ -87,7 +87,7 @@ def key_spread(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> S
     bucket = F.pmod(F.xxhash64(*map(column, keys)), F.lit(BUCKETS))
     bucket = bucket if null_safe else F.when(none_null(keys), bucket)
     per_bucket = df.groupBy(bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(keys)).alias("bytes")
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df, keys)).alias("bytes")
     )
     in_bucket = F.when(F.col("bucket").isNotNull(), F.col("n"))
     figures = per_bucket.agg(F.sum("n"), F.max(in_bucket), F.sum("bytes")).first()

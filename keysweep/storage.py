@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keysweep.functions.columns import column
 
@@ -21,6 +22,7 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 # In-memory cost of one row and of one field of a broadcast hash table, besides its text.
 ROW_OVERHEAD = 48
 FIELD_OVERHEAD = 16
+FIXED_SIZE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def work_folder(spark: SparkSession, purpose: str = "run") -> str:
@@ -39,14 +41,19 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_bytes(names: Sequence[str]) -> Column:
-    """Estimated size of a row in a broadcast hash table, on the safe side."""
-    text = [F.coalesce(F.octet_length(column(c).cast("string")), F.lit(0)) for c in names]
-    return sum(text, F.lit(ROW_OVERHEAD + FIELD_OVERHEAD * len(names))).cast("bigint")
+def row_bytes(df: DataFrame, names: Sequence[str]) -> Column:
+    """Estimated size of a row of ``names`` in a broadcast hash table, on the safe side."""
+    fixed = F.lit(ROW_OVERHEAD + FIELD_OVERHEAD * len(names)).cast("bigint")
+    lengths = [
+        F.coalesce(F.octet_length(column(field.name).cast("string")), F.lit(0))
+        for field in df.select(*map(column, names)).schema
+        if not isinstance(field.dataType, FIXED_SIZE)
+    ]
+    return sum(lengths, fixed)
 
 
 def broadcast_bytes(df: DataFrame) -> int:
-    return df.agg(F.sum(row_bytes(df.columns))).first()[0] or 0
+    return df.agg(F.sum(row_bytes(df, df.columns))).first()[0] or 0
 
 
 @dataclass(frozen=True)

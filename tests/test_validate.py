@@ -9,7 +9,7 @@ import keysweep as ks
 from keysweep.functions import naming
 from keysweep.operators import validate
 from keysweep.sinks.audit import append_audit, audit_record, counts_frame
-from keysweep.storage import broadcast_bytes, sized, work_folder
+from keysweep.storage import broadcast_bytes, row_bytes, sized, work_folder
 
 
 def empty(spark, schema):
@@ -112,6 +112,11 @@ def test_broadcast_size_grows_with_rows_and_text(spark):
     assert (sized(many, 10**6).hint, sized(many, 1000).hint) == ("broadcast", "merge")
 
 
+def test_row_size_finds_columns_in_any_case(spark):
+    df = spark.createDataFrame([("four", 1)], "ID string, N bigint")
+    assert df.agg(F.sum(row_bytes(df, ["id", "n"]))).first()[0] == 48 + 2 * 16 + 4
+
+
 def test_shared_folder_is_taken_from_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = work_folder(spark, "x"), work_folder(spark, "x")

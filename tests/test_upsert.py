@@ -145,7 +145,7 @@ row = st.tuples(key, order, st.sampled_from("xyz"), st.sampled_from(["A", "B", N
 
 
 @settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(
     stored=st.lists(row, max_size=5, unique_by=lambda r: r[0]),

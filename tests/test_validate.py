@@ -121,3 +121,19 @@ def test_shared_folder_is_taken_from_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = work_folder(spark, "x"), work_folder(spark, "x")
     assert one.startswith(shared) and two.startswith(shared) and one != two
+
+
+class Settings(dict):
+    """Stands in for a session: only its settings are asked for."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Settings({"spark.master": "yarn"}))
+    shared = Settings({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/shared/"})
+    assert work_folder(shared, "run").startswith("hdfs://x/shared/keysweep/run-")
+    assert "keysweep-" in work_folder(Settings({"spark.master": "local[2]"}))

@@ -6,13 +6,14 @@ import pytest
 from compare import SF_DIR, assert_same
 
 import __spark_entry__ as entry_points
-
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert ORACLES.keys() <= entry_points.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keysweep.llm.decontaminate import contamination, contamination_digest
+from keysweep.llm.line_dedup import line_digest
 from keysweep.llm.simhash import simhash_components
 from keysweep.llm.staging import table
 from keysweep.llm.substring_dedup import substring_dedup
@@ -17,7 +19,15 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).drop("root")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup)}
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digest(table(spark, sf_dir, "documents"))
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op5_line_dedup, op10_benchmark_decontamination)}
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": r"""
@@ -42,4 +52,59 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(k.t, '')) as kept_sha256
         from texts t left join kept k on t.doc_id = k.doc_id
     """,
+    "op5_line_dedup": r"""
+        with lines as (
+            select doc_id, i, l, list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+            from (select doc_id, unnest(parts) as l, unnest(range(1, len(parts) + 1)) as i
+                  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents))
+        ), places as (
+            select doc_id, i, array_to_string(words, ' ') as c, len(words) as n, words, row_number() over (order by doc_id, i) as p
+            from lines where len(words) > 0
+        ), classes as (
+            select c, any_value(n) as n, any_value(words) as words, min(p) as p from places group by c
+        ), cut as (
+            select c, n, p, k, array_to_string(list_concat(words[1 : k - 1], words[k + 1 :]), ' ') as v
+            from (select *, unnest(range(1, n + 1)) as k from classes where n >= 8)
+        ), swapped as (
+            select c, min(p) over (partition by k, v) as q from cut
+        ), longer as (
+            select a.c as short, b.c as long, a.p as sp, b.p as lp from classes a join cut b on a.c = b.v where a.n >= 8
+        ), near as (
+            select c, min(q) as q from (select c, q from swapped union all select short, lp from longer
+                union all select long, sp from longer union all select c, p from classes) group by c
+        ), gone as (
+            select doc_id, i from places join near using (c) where p > q
+        )
+        select l.doc_id, count(*)::bigint as n_lines, count(g.i)::bigint as n_removed,
+               sha256(coalesce(string_agg(l.l, chr(10) order by l.i) filter (where g.i is null), '')) as kept_sha256
+        from lines l left join gone g on l.doc_id = g.doc_id and l.i = g.i group by l.doc_id
+    """,
+    "op10_benchmark_decontamination": r"""
+        with item_words as (
+            select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as words from benchmark
+        ), wins as (
+            select item_id, len(words) as n, array_to_string(words, ' ') as k from item_words where len(words) between 1 and 9
+            union
+            select item_id, 10, array_to_string(words[s : s + 9], ' ') from
+                (select item_id, words, unnest(range(1, len(words) - 8)) as s from item_words where len(words) >= 10)
+        ), texts as (
+            select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as words from documents
+        ), lengths as (select distinct n from wins),
+        places as (
+            select doc_id, n, s, array_to_string(words[s : s + n - 1], ' ') as k from
+                (select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as s from texts, lengths where len(words) >= n)
+        ), found as (
+            select p.doc_id, p.n, p.s, w.item_id from places p join wins w on p.n = w.n and p.k = w.k
+        ), hit as (
+            select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from found) group by doc_id
+        ), listed as (
+            select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items
+            from (select distinct doc_id, item_id::varchar as item_id from found) group by doc_id
+        )
+        select t.doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+               sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
+        from texts t left join hit h on t.doc_id = h.doc_id left join listed l on t.doc_id = l.doc_id
+    """,
 }

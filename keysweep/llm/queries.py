@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keysweep.llm.bpe import bpe, bpe_digest
 from keysweep.llm.decontaminate import contamination, contamination_digest
+from keysweep.llm.language_id import language_id
 from keysweep.llm.line_dedup import line_digest
+from keysweep.llm.quality import quality
 from keysweep.llm.simhash import simhash_components
 from keysweep.llm.staging import table
 from keysweep.llm.substring_dedup import substring_dedup
 
 
+def vocabulary_path() -> str:
+    """The vocabulary of the queries; it lies where the public tokenizers are installed, on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -23,11 +33,26 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digest(bpe(table(spark, sf_dir, "documents"), vocabulary_path()))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op5_line_dedup, op10_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op5_line_dedup, op6_quality_rules, op7_language_id, op8_bpe_round_trip, op10_benchmark_decontamination)}
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": r"""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from keysweep.functions.columns import column
 from keysweep.llm.shipping import ship
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 PIECE_ROWS = 2000
 # Words longer in bytes than this are hashed one at a time.
 BLOCK = 1 << 20

@@ -9,6 +9,7 @@ from keysweep.llm.decontaminate import contamination, contamination_digest
 from keysweep.llm.language_id import language_id
 from keysweep.llm.line_dedup import line_digest
 from keysweep.llm.quality import quality
+from keysweep.llm.secrets import secret_digest, secret_spans
 from keysweep.llm.simhash import simhash_components
 from keysweep.llm.staging import table
 from keysweep.llm.substring_dedup import substring_dedup
@@ -48,11 +49,15 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(bpe(table(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(secret_spans(table(spark, sf_dir, "documents")))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op5_line_dedup, op6_quality_rules, op7_language_id, op8_bpe_round_trip, op10_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op5_line_dedup, op6_quality_rules, op7_language_id, op8_bpe_round_trip, op9_secret_scan, op10_benchmark_decontamination)}
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": r"""

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keysweep.llm.bpe import bpe, bpe_digest
 from keysweep.llm.decontaminate import contamination, contamination_digest
+from keysweep.llm.html_extract import html_extract
 from keysweep.llm.language_id import language_id
 from keysweep.llm.line_dedup import line_digest
+from keysweep.llm.lm_score import lm_score
 from keysweep.llm.quality import quality
 from keysweep.llm.secrets import secret_digest, secret_spans
 from keysweep.llm.simhash import simhash_components
@@ -30,6 +32,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).drop("root")
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract(table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digest(table(spark, sf_dir, "documents"))
 
@@ -57,7 +67,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op5_line_dedup, op6_quality_rules, op7_language_id, op8_bpe_round_trip, op9_secret_scan, op10_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op3_lm_score, op4_html_extraction, op5_line_dedup, op6_quality_rules, op7_language_id, op8_bpe_round_trip, op9_secret_scan, op10_benchmark_decontamination)}
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": r"""

@@ -11,7 +11,7 @@ from keysweep.llm.language_id import language_id
 from keysweep.llm.line_dedup import line_digest
 from keysweep.llm.lm_score import lm_score
 from keysweep.llm.quality import quality
-from keysweep.llm.secrets import secret_digest, secret_spans
+from keysweep.llm.secret_scan import secret_digest, secret_spans
 from keysweep.llm.simhash import simhash_components
 from keysweep.llm.staging import table
 from keysweep.llm.substring_dedup import substring_dedup

@@ -296,12 +296,13 @@ def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
     return map_pieces(rows, ["id", "text"], encode, "doc_id long, ids array<int>, decoded string")
 
 
-def bpe_digest(encoded: DataFrame) -> DataFrame:
-    """Number of tokens, and checksums of their numbers and of the decoded text."""
+def bpe_digest(encoded: DataFrame, *more: str) -> DataFrame:
+    """Number of tokens, and checksums of their numbers and of the decoded text; columns ``more`` of ``encoded`` follow."""
     numbers = F.array_join(F.col("ids").cast("array<string>"), ",")
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(numbers, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )

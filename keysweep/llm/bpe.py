@@ -47,7 +47,9 @@ MOST_WORDS = 300_000
 LONG_WORD = 64
 # Words of more bytes are merged with a heap.
 SHORT_WORD = 64
-NO_MERGE = (1 << 40, -1)
+# Bits of the number of slots of a table of merges, and the odd factor that deals pairs to them.
+SLOT_BITS = 18
+SLOT_FACTOR = 0x9E3779B97F4A7C15
 NEVER = np.int64(1 << 40)
 
 
@@ -85,6 +87,34 @@ def in_ranges(points: list[int]) -> str:
     return "".join(out)
 
 
+class PairTable:
+    """The places of numbers in a list, looked up by a hash; the few that share a slot are found by binary search."""
+
+    def __init__(self, keys: np.ndarray):
+        slots = self.slots(keys)
+        _, first = np.unique(slots, return_index=True)
+        self.key, self.place = np.full(1 << SLOT_BITS, -1, np.int64), np.full(1 << SLOT_BITS, NEVER)
+        self.key[slots[first]], self.place[slots[first]] = keys[first], first
+        more = np.setdiff1d(np.arange(len(keys)), first)
+        more = more[np.argsort(keys[more])]
+        self.crowded = np.zeros(1 << SLOT_BITS, bool)
+        self.crowded[slots[more]] = True
+        self.more_keys, self.more_places = np.append(keys[more], NEVER), np.append(more, NEVER)
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(SLOT_FACTOR)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        slots = self.slots(keys)
+        known = self.key[slots] == keys
+        out = np.where(known, self.place[slots], NEVER)
+        rest = np.flatnonzero(~known & self.crowded[slots])
+        if len(rest):
+            at = np.searchsorted(self.more_keys, keys[rest])
+            out[rest] = np.where(self.more_keys[at] == keys[rest], self.more_places[at], NEVER)
+        return out
+
+
 class Vocabulary:
     """Tokens as bytes, merges by rank, and special tokens."""
 
@@ -111,10 +141,8 @@ class Vocabulary:
         left, right = (np.array([known[m[k]] for m in merges], np.int64) for k in (0, 1))
         made = np.array([known[a + b] for a, b in merges], np.int64)
         self.size = size
-        self.single_list, self.made = self.single.tolist(), made.tolist()
-        order = np.argsort(left * size + right, kind="stable")
-        self.keys = (left * size + right)[order]
-        self.key_ranks = order.astype(np.int64)
+        self.single_list, self.made = self.single.tolist(), made
+        self.pairs = PairTable(left * size + right)
         self.merges = {(int(a), int(b)): (r, int(c)) for r, (a, b, c) in reversed(list(enumerate(zip(left, right, made))))}
         # The merge that makes each token, and its sides; bytes are made by none.
         self.rank = np.full(size, -1, np.int64)
@@ -132,9 +160,7 @@ class Vocabulary:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair, ``NEVER`` if there is none."""
-        key = left * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.key_ranks[at], NEVER)
+        return self.pairs.places(left * self.size + right)
 
     def compatible(self, left: np.ndarray, right: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
         """Whether nothing merges across the boundary of each pair (but the pair itself, if ``own`` is its rank)."""
@@ -166,25 +192,45 @@ class Vocabulary:
             at = end
         return out
 
-    def merged(self, word: bytes) -> list[int]:
-        """Exact merging by rank, the leftmost of equal ones first."""
-        tokens = [self.single_list[b] for b in word]
-        if len(tokens) > SHORT_WORD:
-            return self.merged_long(tokens)
-        merge_of = self.merges.get
-        ranks = [merge_of(p, NO_MERGE)[0] for p in zip(tokens, tokens[1:])]
-        while ranks:
-            least = min(ranks)
-            if least == NO_MERGE[0]:
-                break
-            i = ranks.index(least)
-            tokens[i : i + 2] = [self.made[least]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = merge_of((tokens[i - 1], tokens[i]), NO_MERGE)[0]
-            if i < len(ranks):
-                ranks[i] = merge_of((tokens[i], tokens[i + 1]), NO_MERGE)[0]
-        return tokens
+    def merged(self, words: list[bytes]) -> list[list[int]]:
+        """Exact merging by rank, the leftmost of equal ones first; of all words at once, one merge of each at a time."""
+        out: list[list[int]] = [[]] * len(words)
+        for i, w in enumerate(words):
+            if len(w) > SHORT_WORD:
+                out[i] = self.merged_long([self.single_list[b] for b in w])
+        short = np.array([i for i, w in enumerate(words) if len(w) <= SHORT_WORD], np.int64)
+        count = np.array([len(words[i]) for i in short], np.int64)
+        tokens = self.single[np.frombuffer(b"".join([words[i] for i in short]), np.uint8)]
+        rank = np.append(self.ranks(tokens[:-1], tokens[1:]), NEVER)
+        rank[np.cumsum(count) - 1] = NEVER
+        while len(short):
+            starts = np.cumsum(count) - count
+            least = np.minimum.reduceat(rank, starts)
+            done = least == NEVER
+            if done.any():
+                for k in np.flatnonzero(done).tolist():
+                    out[short[k]] = tokens[starts[k] : starts[k] + count[k]].tolist()
+                stay = np.repeat(~done, count)
+                tokens, rank, short, count, least = tokens[stay], rank[stay], short[~done], count[~done], least[~done]
+                if not len(short):
+                    break
+                starts = np.cumsum(count) - count
+            word = np.repeat(np.arange(len(short)), count)
+            at = np.flatnonzero(rank == least[word])
+            at = at[np.append(True, word[at[1:]] != word[at[:-1]])]
+            tokens[at] = self.made[least]
+            # The pair that began with the right side now begins with the new token; those on both sides are new.
+            stay = np.ones(len(tokens), bool)
+            stay[at + 1] = False
+            is_last = at + 2 >= starts + count
+            tokens, rank, count = tokens[stay], rank[stay], count - 1
+            at = at - np.arange(len(at))
+            follows = at[~is_last]
+            rank[at[is_last]] = NEVER
+            rank[follows] = self.ranks(tokens[follows], tokens[follows + 1])
+            after = at[at > np.cumsum(count) - count]
+            rank[after - 1] = self.ranks(tokens[after - 1], tokens[after])
+        return out
 
     def merged_long(self, tokens: list[int]) -> list[int]:
         """The same with a heap."""
@@ -213,8 +259,8 @@ class Vocabulary:
         word = np.repeat(np.arange(len(found)), count)
         inner = np.flatnonzero(word[1:] == word[:-1])
         failed = np.unique(word[inner[~self.compatible(tokens[inner], tokens[inner + 1])]])
-        for i in failed.tolist():
-            found[i] = self.merged(words[i])
+        for i, exact in zip(failed.tolist(), self.merged([words[i] for i in failed.tolist()])):
+            found[i] = exact
         return found, len(failed)
 
     def decode(self, tokens: list[int]) -> str:
@@ -237,28 +283,27 @@ class Encoder:
         self.older = regex.compile(older, regex.VERSION1).findall if newer else self.plain
         special = sorted(vocabulary.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")").split if special else lambda text: [text]
-        self.words: dict[str, list[int]] = {}
+        # Tokens as the bytes of 32-bit numbers.
+        self.words: dict[str, bytes] = {}
 
     def split(self, text: str) -> list[str]:
         newer = not text.isascii() and self.is_high(text) and self.has_newer(text)
         return self.older(text) if newer else self.plain(text)
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         parts = [[[x] if k % 2 else self.split(x) for k, x in enumerate(self.cut(t))] for t in texts]
-        new = {w for text in parts for plain in text[::2] for w in plain} - self.words.keys()
+        seen = set().union(*[plain for text in parts for plain in text[::2]])
+        new = seen - self.words.keys()
         if len(self.words) + len(new) > MOST_WORDS:
-            self.words = {}
-            new = {w for text in parts for plain in text[::2] for w in plain}
+            self.words, new = {}, seen
         listed = list(new)
         found, _ = self.vocabulary.encode_words([w.encode() for w in listed])
-        self.words.update(zip(listed, found))
+        self.words.update(zip(listed, [np.array(t, np.int32).tobytes() for t in found]))
         known, special = self.words, self.vocabulary.special
         out = []
         for text in parts:
-            tokens: list[int] = []
-            for k, words in enumerate(text):
-                tokens.extend([special[words[0]]] if k % 2 else chain.from_iterable([known[w] for w in words]))
-            out.append(tokens)
+            packed = [np.int32(special[x[0]]).tobytes() if k % 2 else b"".join([known[w] for w in x]) for k, x in enumerate(text)]
+            out.append(np.frombuffer(b"".join(packed), np.int32))
         for w in listed:
             if len(w) > LONG_WORD:
                 del self.words[w]
@@ -286,11 +331,10 @@ def bpe(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "tex
         encoder = encoder_of(name, shared)
         tokens = encoder([t or "" for t in piece.column("text").to_pylist()])
         sizes = np.concatenate([[0], np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))])
-        flat = np.fromiter(chain.from_iterable(tokens), np.int32, int(sizes[-1]))
         return batch_of(
             doc_id=piece.column("id"),
-            ids=pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat)),
-            decoded=[encoder.vocabulary.decode(t) for t in tokens],
+            ids=pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(tokens))),
+            decoded=[encoder.vocabulary.decode(t.tolist()) for t in tokens],
         )
 
     return map_pieces(rows, ["id", "text"], encode, "doc_id long, ids array<int>, decoded string")

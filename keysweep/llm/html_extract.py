@@ -30,6 +30,7 @@ from keysweep.functions.columns import column
 from keysweep.llm import boosting
 from keysweep.llm.dom import Page
 from keysweep.llm.layouts import MARK, laid_out
+from keysweep.llm.staging import bounded_sample
 from keysweep.llm.text import batch_of, map_pieces
 
 MOST_PAGES = 300
@@ -172,7 +173,7 @@ def html_extract(
 ) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars (code points)."""
     sample = pages.filter(column(html_col).isNotNull()).select(column(id_col).alias("id"), column(html_col).alias("html"))
-    sample = sample.orderBy(F.xxhash64("id"), "id", F.xxhash64("html")).limit(most_pages).select("html").collect()
+    sample = bounded_sample(sample, most_pages, F.col("id"), F.xxhash64("html")).select("html").collect()
     shared = pages.sparkSession.sparkContext.broadcast(fit([r.html for r in sample]))
 
     def extract(piece: pa.RecordBatch) -> pa.RecordBatch:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
+from math import ceil
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,3 +66,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_digest(text: str) -> Column:
     """Short digest that tells texts of one identifier apart; NULL counts as empty."""
     return F.crc32(F.coalesce(column(text), F.lit(""))).cast("bigint")
+
+
+def bounded_sample(df: DataFrame, rows: int, *key: Column) -> DataFrame:
+    """At most ``rows`` rows of ``df``, the first by a hash of ``key``.
+
+    Rows whose hash is far too large are left out before the sort, so that no task sends more than its share of the sample.
+    """
+    spread = 1 << 31
+    total = df.count()
+    hashed = F.pmod(F.xxhash64(*key), F.lit(spread))
+    if total > rows:
+        df = df.filter(hashed < min(spread, ceil(1.3 * rows / total * spread) + 1))
+    return df.orderBy(hashed, *key).limit(rows)

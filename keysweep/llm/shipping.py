@@ -1,4 +1,4 @@
-"""Sends this package to the Python workers, as ``--py-files`` does, so that a session needs no set-up for it."""
+"""Prepares a session for the Python workers: sends them this package, as ``--py-files`` does, and bounds their batches."""
 
 from __future__ import annotations
 
@@ -8,11 +8,18 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# Most bytes of rows that go to a worker at once; by default only their number is bounded, whatever their texts.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Add the package's source files to the application once."""
+    """Add the package's source files to the application once, and lower the session's batches to ``BATCH_BYTES``."""
+    known = str(spark.conf.get(BATCH_SETTING, None) or "").rstrip("bB")
+    if not known.isdigit() or not 0 < int(known) <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _sent:
         return

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from keysweep.functions.columns import column
 from keysweep.llm import boosting
 from keysweep.llm.shipping import ship
-from keysweep.llm.staging import Stage, columns_of, free_name
+from keysweep.llm.staging import Stage, bounded_sample, columns_of, free_name
 from keysweep.llm.text import (
     BYTE_BASE,
     SPACED,
@@ -165,7 +165,8 @@ def failed_rules() -> Column:
 def fit(counts: DataFrame, labels: DataFrame, most_rows: int) -> boosting.Trees:
     """Trees for labelled documents (rows of ``labels``: id, quality) that pass the rules."""
     labelled = counts.filter(~failed_rules()).join(labels.filter("quality is not null"), "id")
-    rows = labelled.orderBy(F.xxhash64("id"), "id", "digest", "quality").limit(most_rows).select("quality", *COUNTS).toPandas()
+    sample = bounded_sample(labelled, most_rows, F.col("id"), F.col("digest"), F.col("quality"))
+    rows = sample.select("quality", *COUNTS).toPandas()
     x = feature_rows({k: rows[k].to_numpy() for k in COUNTS})
     return boosting.train(x, rows["quality"].to_numpy().astype(float), list(FEATURES.values()))
 

@@ -61,8 +61,10 @@ ALLOWED = r"^(?:[A-Za-z]+|[+/_=-]*(?:[A-Za-z]+|[0-9]{1,8})(?:[+/_=-]+(?:[A-Za-z]
 
 
 def pieces(text: Column, pattern: str) -> Column:
-    """The text up to the end of each match, from the end of the one before."""
-    return F.regexp_extract_all(text, F.lit(rf"\G[\s\S]*?(?:{pattern})"), F.lit(0))
+    """The text up to the end of each match, from the end of the one before. Most texts have none, which a plain search
+    finds out several times as fast."""
+    found = F.regexp_extract_all(text, F.lit(rf"\G[\s\S]*?(?:{pattern})"), F.lit(0))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<string>"))
 
 
 def running_totals(lengths: Column) -> Column:

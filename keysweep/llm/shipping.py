@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 # Most bytes of rows that go to a worker at once; by default only their number is bounded, whatever their texts.
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 _sent: set[str] = set()
 

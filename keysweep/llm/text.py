@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from keysweep.functions.columns import column
 from keysweep.llm.shipping import ship
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 512 << 10
 PIECE_ROWS = 2000
 # Words longer in bytes than this are hashed one at a time.
-BLOCK = 1 << 20
+BLOCK = 256 << 10
 
 # Odd 64-bit multipliers of the polynomial hashes and the finaliser of their results.
 BYTE_BASE = 0x9E3779B97F4A7C15

@@ -6,8 +6,9 @@ an earlier line, ``n_repeat_words`` words in windows of three words that occur t
 The rules reject a text of fewer than 50 words, or of which more than half of the words are repeated.
 
 The trees learn the 0/1 quality of labelled documents from ratios of the counts. They may only think less of a document as
-symbols, repeated lines or repeated words grow (monotonic constraints). At most ``most_rows`` labelled documents are used, the
-first by a hash of the identifier; every document is scored. Without labels only the rules decide.
+symbols, repeated lines or repeated words grow (monotonic constraints). At most ``most_rows`` labels, the first by a hash of the
+identifier, choose the documents to learn from, of which again at most ``most_rows`` are used; every document is scored, where it
+is read: nothing but these few is shuffled. Without labels only the rules decide.
 
 Cases: NULL and empty texts have no words and fail; rows that repeat an identifier are judged one by one; a label of
 a repeated identifier counts once for each row, contradicting labels all count, NULL labels do not; an empty table
@@ -19,13 +20,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.functions.columns import column
 from keysweep.llm import boosting
-from keysweep.llm.shipping import ship
-from keysweep.llm.staging import Stage, bounded_sample, columns_of, free_name
+from keysweep.llm.staging import Stage, bounded_sample
 from keysweep.llm.text import (
     BYTE_BASE,
     SPACED,
@@ -34,6 +34,7 @@ from keysweep.llm.text import (
     flat,
     map_pieces,
     mixed,
+    pieces,
     range_hashes,
     span_hashes,
     spans,
@@ -128,16 +129,6 @@ def counts_of(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def document_counts(docs: DataFrame) -> DataFrame:
-    """The counts of rows of (id, digest, text)."""
-
-    def find(piece: pa.RecordBatch) -> pa.RecordBatch:
-        found = counts_of(piece.column("text"))
-        return batch_of(id=piece.column("id"), digest=piece.column("digest"), **{k: v.astype(np.int64) for k, v in found.items()})
-
-    return map_pieces(docs, ["id", "digest", "text"], find, "id long, digest long, " + ", ".join(f"{c} long" for c in COUNTS))
-
-
 def feature_rows(counts: dict[str, np.ndarray]) -> np.ndarray:
     c = {k: np.asarray(v, float) for k, v in counts.items()}
     words, chars, lines = np.maximum(c["n_words"], 1), np.maximum(c["word_chars"], 1), np.maximum(c["n_lines"], 1)
@@ -158,17 +149,40 @@ def feature_rows(counts: dict[str, np.ndarray]) -> np.ndarray:
     return np.stack([named[k] for k in FEATURES], axis=1)
 
 
-def failed_rules() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def verdicts(counts: dict[str, np.ndarray], trees: boosting.Trees, keep_from: float) -> dict[str, np.ndarray]:
+    """Whether the rules reject each document, the score of the trees, and whether it is kept."""
+    failed = (counts["n_words"] < MIN_WORDS) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
+    score = trees.probability(feature_rows(counts))
+    return {"base_failed": failed, "score": score, "kept": ~failed & ((score >= keep_from) | (len(trees.roots) == 0))}
 
 
-def fit(counts: DataFrame, labels: DataFrame, most_rows: int) -> boosting.Trees:
-    """Trees for labelled documents (rows of ``labels``: id, quality) that pass the rules."""
-    labelled = counts.filter(~failed_rules()).join(labels.filter("quality is not null"), "id")
-    sample = bounded_sample(labelled, most_rows, F.col("id"), F.col("digest"), F.col("quality"))
-    rows = sample.select("quality", *COUNTS).toPandas()
-    x = feature_rows({k: rows[k].to_numpy() for k in COUNTS})
-    return boosting.train(x, rows["quality"].to_numpy().astype(float), list(FEATURES.values()))
+def fit(rows: DataFrame, labels: DataFrame, stage: Stage, most_rows: int) -> boosting.Trees:
+    """Trees for documents (id, digest, text) with a label (id, quality) that pass the rules."""
+
+    def find(piece: pa.RecordBatch) -> pa.RecordBatch:
+        found = counts_of(piece.column("text"))
+        columns = {k: piece.column(k) for k in ("id", "digest", "quality")}
+        return batch_of(**columns, **{k: found[k].astype(np.int64) for k in COUNTS})
+
+    chosen = stage(bounded_sample(labels.filter("quality is not null"), most_rows, F.col("id"), F.col("quality")), "labels")
+    labelled = rows.join(F.broadcast(chosen), "id")
+    schema = "id long, digest long, quality int, " + ", ".join(f"{c} long" for c in COUNTS)
+    counts = stage(map_pieces(labelled, ["id", "digest", "quality", "text"], find, schema), "labelled")
+    passed = counts.filter((F.col("n_words") >= MIN_WORDS) & (100 * F.col("n_repeat_words") <= 50 * F.col("n_words")))
+    # Rows may repeat an identifier, so those of a bounded number of labels are not yet a bounded number.
+    sample = bounded_sample(passed, most_rows, F.col("id"), F.col("digest"), F.col("quality")).select("quality", *COUNTS).toPandas()
+    x = feature_rows({k: sample[k].to_numpy() for k in COUNTS})
+    return boosting.train(x, sample["quality"].to_numpy().astype(float), list(FEATURES.values()))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most_rows: int):
+    """The trees, sent to all executors."""
+    rows = docs.select(
+        column(id_col).cast("bigint").alias("id"), F.xxhash64(column(text_col)).alias("digest"), column(text_col).alias("text")
+    )
+    labels = labels.select(column(id_col).cast("bigint").alias("id"), (column(label_col) > 0).cast("int").alias("quality"))
+    trees = fit(rows, labels, Stage(docs.sparkSession, "quality"), most_rows)
+    return docs.sparkSession.sparkContext.broadcast(trees)
 
 
 def quality(
@@ -180,35 +194,35 @@ def quality(
     most_rows: int = MOST_ROWS,
     keep_from: float = KEEP_FROM,
 ) -> DataFrame:
-    """Per row of ``docs``: doc_id, digest (of the text), the counts, base_failed, score (0 to 1) and kept."""
-    stage = Stage(docs.sparkSession, "quality")
-    rows = docs.select(
-        column(id_col).cast("bigint").alias("id"), F.xxhash64(column(text_col)).alias("digest"), column(text_col).alias("text")
-    )
-    counts = stage(document_counts(rows), "counts")
-    labels = labels.select(column(id_col).cast("bigint").alias("id"), (column(label_col) > 0).cast("int").alias("quality"))
-    trees = fit(counts, labels, most_rows)
-    shared = docs.sparkSession.sparkContext.broadcast(trees)
+    """Per row of ``docs``: doc_id, the counts, base_failed, score (0 to 1) and kept."""
+    shared = fitted(docs, labels, id_col, text_col, label_col, most_rows)
 
-    def score(batches):
-        for batch in batches:
-            x = feature_rows({k: batch.column(k).to_numpy() for k in COUNTS})
-            yield batch.append_column("score", pa.array(shared.value.probability(x), pa.float64()))
-
-    ship(docs.sparkSession)
-    schema = "id long, digest long, " + ", ".join(f"{c} long" for c in COUNTS) + ", score double"
-    scored = counts.mapInArrow(score, schema).withColumnRenamed("id", "doc_id")
-    no_verdict = F.lit(not len(trees.roots))
-    return scored.withColumn("base_failed", failed_rules()).withColumn(
-        "kept", ~F.col("base_failed") & (no_verdict | (F.col("score") >= keep_from))
-    )
+    def find(piece: pa.RecordBatch) -> pa.RecordBatch:
+        found = counts_of(piece.column("text"))
+        named = {k: v.astype(np.int64) for k, v in found.items()}
+        return batch_of(doc_id=piece.column("id"), **named, **verdicts(found, shared.value, keep_from))
+
+    rows = docs.select(column(id_col).cast("bigint").alias("id"), column(text_col).alias("text"))
+    schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, score double, kept boolean"
+    return map_pieces(rows, ["id", "text"], find, schema)
+
+
+def quality_filter(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    most_rows: int = MOST_ROWS,
+    keep_from: float = KEEP_FROM,
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, judged where they are read."""
+    shared = fitted(docs, labels, id_col, text_col, label_col, most_rows)
 
+    def keep(batches):
+        for batch in batches:
+            for piece in pieces(batch, text_col):
+                found = verdicts(counts_of(piece.column(text_col)), shared.value, keep_from)
+                yield piece.filter(pa.array(found["kept"]))
 
-def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are kept."""
-    own, digest = free_name(docs, "quality_id"), free_name(docs, "quality_digest")
-    stage = Stage(docs.sparkSession, "quality-filter")
-    found = quality(docs, labels, id_col, text_col, **options).filter("not kept")
-    gone = stage(found.select(F.col("doc_id").alias(own), F.col("digest").alias(digest)).distinct(), "rejected")
-    met = column(id_col).cast("bigint").eqNullSafe(column(own)) & (F.xxhash64(column(text_col)) == column(digest))
-    return docs.join(gone, met, "left_anti").select(*columns_of(docs))
+    return docs.mapInArrow(keep, docs.schema)

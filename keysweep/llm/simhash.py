@@ -221,21 +221,21 @@ def simhash_dedup(
 ) -> DataFrame:
     """The rows of ``docs`` with the least identifier of each component, one of each; columns stay as they are."""
     stage = Stage(docs.sparkSession, "simhash-dedup")
-    found = simhash_components(docs, id_col, text_col, shingle, max_bits)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stage(kept.groupBy("doc_id", "fingerprint").agg(F.count("*").alias("copies"), F.min("root").alias("root")), "kept")
-    # One identifier may stand for several texts; of a component only the least fingerprint stays then.
-    kept = stage(kept.groupBy("doc_id", "root").agg(F.min_by(F.struct("fingerprint", "copies"), "fingerprint").alias("k")).select("doc_id", "k.*"), "one")
+    found = stage(simhash_components(docs, id_col, text_col, shingle, max_bits), "components")
+    # Identifiers of one row each are decided by themselves; what goes is less than what stays, and often few.
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("component_id").alias("component_id"))
+    alone = (F.col("rows") == 1) & F.col("doc_id").isNotNull()
+    special = stage(ids.filter(~alone).select(F.col("doc_id").alias("own_id")), "special")
     own, mark = free_name(docs, "own_id"), free_name(docs, "own_fp")
-    copies = free_name(docs, "own_copies")
-    kept = kept.select(F.col("doc_id").alias(own), F.col("fingerprint").alias(mark), F.col("copies").alias(copies))
-    ids = kept.groupBy(own).agg(F.count("*").alias("texts"), F.max(copies).alias("most"))
-    plain = stage(ids.filter("texts = 1 and most = 1").select(own), "plain")
-    joined = docs.join(plain, docs[id_col].cast("bigint").eqNullSafe(plain[own]), "left_semi")
-    several = stage(kept.join(plain.withColumnRenamed(own, "p"), kept[own].eqNullSafe(F.col("p")), "left_anti"), "several")
-    if several.isEmpty():
-        return joined
-    return joined.unionByName(first_copies(docs, several, id_col, text_col, shingle, own, mark))
+    gone = stage(ids.filter(~alone | (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias(own)), "gone")
+    plain = docs.join(gone, docs[id_col].cast("bigint").eqNullSafe(gone[own]), "left_anti")
+    if special.isEmpty():
+        return plain
+    # One identifier may stand for several rows and texts; of a component only the least fingerprint stays then.
+    kept = found.join(special, found["doc_id"].eqNullSafe(special["own_id"]), "left_semi")
+    kept = kept.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "root").agg(F.min("fingerprint").alias(mark))
+    several = stage(kept.select(F.col("doc_id").alias(own), mark), "several")
+    return plain.unionByName(first_copies(docs, several, id_col, text_col, shingle, own, mark))
 
 
 def first_copies(docs: DataFrame, several: DataFrame, id_col: str, text_col: str, shingle: int, own: str, mark: str) -> DataFrame:

@@ -42,7 +42,7 @@ except ImportError:  # splitting then follows the Unicode version of Python
 
 # Fixed value: how byte-level vocabularies split text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MOST_WORDS = 150_000
+MOST_WORDS = 250_000
 # Longer words, in characters, are not remembered.
 LONG_WORD = 64
 # Words of more bytes are merged with a heap.

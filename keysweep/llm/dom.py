@@ -107,6 +107,8 @@ class Page:
             if self.tags[self.open[k]] == tag:
                 self.close_to(k)
                 return
+        if tag == "p":  # the end of a paragraph that is not open still parts what is around it
+            self.finish_run()
 
     def begin(self, tag: str, attributes: str) -> None:
         self.finish_run()

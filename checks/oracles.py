@@ -202,6 +202,16 @@ ORACLES: dict[str, str] = {
             select transaction_id, transaction_line_id,
                    case when {_gone("pair")} then '1' else is_deleted end as is_deleted, partition_key
             from tgt_pair t""",
+        "reconcile_evolved_files": f"""
+            select id, case when id % 2 = 1 then amount end as amount,
+                   case when {_gone("single")} then '1' else is_deleted end as is_deleted, partition_key
+            from tgt_single t""",
+        "reconcile_all_audited": " union all ".join(
+            f"""select '{name}' as source_table_name, source_count as source_table_count,
+                   target_count as target_table_count, source_count - target_count as record_count_diff,
+                   'Completed' as status from (select {_counts(name)})"""
+            for name in ("single", "pair", "five")
+        ),
         "reconcile_all_configured": " union all ".join(map(_summary, ("single", "pair", "five"))),
     }.items()
 }

@@ -318,6 +318,38 @@ def reconcile_all_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ks.summary(spark, outcomes)
 
 
+def reconcile_evolved_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over partitions whose older files lack a column: the rewrite must not lose it."""
+    path = work_folder(spark, "evolved") + "/table"
+    rows = ks.drop_meta(fx.tgt_single(spark, sf_dir))
+    ks.write_partitioned(rows.filter("id % 2 = 0").drop("amount"), path)
+    rows.filter("id % 2 = 1").write.mode("append").partitionBy("partition_key").option("compression", "gzip").parquet(path)
+    ks.reconcile(spark, fx.SINGLE, fx.src_single(spark, sf_dir), path, run_time=RUN_TIME, run_id=RUN_ID)
+    return ks.read_target(spark, path).select("id", "amount", "is_deleted", "partition_key")
+
+
+def reconcile_all_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit table of parallel runs that share one folder and one audit path."""
+    entries = config.parse_table_config(spark.createDataFrame([(CONFIG,)], "value string"))
+    targets = {"single": fx.tgt_single, "pair": fx.tgt_pair, "five": fx.tgt_five}
+    sources = {"single": fx.src_single, "pair": fx.src_pair, "five": fx.src_five}
+    folder = work_folder(spark, "audited")
+    ks.reconcile_all(
+        spark,
+        ks.table_specs(entries),
+        {name: source(spark, sf_dir) for name, source in sources.items()},
+        {name: published(spark, target(spark, sf_dir), name) for name, target in targets.items()},
+        parallel=len(targets),
+        run_time=RUN_TIME,
+        run_id=RUN_ID,
+        folder=f"{folder}/runs",
+        audit_path=f"{folder}/audit",
+    )
+    return ks.read_audit(spark, f"{folder}/audit").select(
+        "source_table_name", "source_table_count", "target_table_count", "record_count_diff", "status"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "project_source_keys": project_source_keys,
     "source_key_parts": source_key_parts,
@@ -354,4 +386,6 @@ QUERIES: dict[str, Query] = {
     "audit_record": audit_record,
     "soft_delete_end_to_end": soft_delete_end_to_end,
     "reconcile_all_configured": reconcile_all_configured,
+    "reconcile_evolved_files": reconcile_evolved_files,
+    "reconcile_all_audited": reconcile_all_audited,
 }

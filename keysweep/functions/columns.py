@@ -107,7 +107,12 @@ def _converted(key: str, have: T.DataType, want: T.DataType) -> Column:
     value = column(key)
     cast = value.try_cast(want)
     broken = value.isNotNull() & cast.isNull()
-    if isinstance(have, T.NumericType) and isinstance(want, T.NumericType):
+    # Several source keys must not become one. Text to timestamp is exact; every other pair is compared with the way back.
+    if isinstance(have, T.StringType) and isinstance(want, T.DecimalType):
+        broken = broken | (value.try_cast(T.DecimalType(38, 18)) != cast)
+    elif isinstance(have, T.StringType) and isinstance(want, T.DateType):
+        broken = broken | (value.try_cast("timestamp_ntz") != cast.cast("timestamp_ntz"))
+    elif not (isinstance(have, T.StringType) and isinstance(want, (T.TimestampType, T.TimestampNTZType))):
         broken = broken | (cast.try_cast(have) != value)
     message = F.concat(
         F.lit(f"source key {key} is not a {want.simpleString()}: "), value.cast("string")

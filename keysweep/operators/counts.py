@@ -29,9 +29,9 @@ def gate_is_open(count_diff: int, gate: str = ALWAYS) -> bool:
     return gate == ALWAYS or count_diff > 0
 
 
-def check_delete_fraction(flagged: int, active: int, limit: float) -> None:
-    """Refuse to flag more than ``limit`` of the active rows, as after a failed, empty source read."""
-    if flagged > limit * active:
+def check_delete_fraction(flagged: int, active: int, limit: float | None) -> None:
+    """Refuse to flag more than ``limit`` of the active rows, as after a failed, empty source read. None: no limit."""
+    if limit is not None and flagged > limit * active:
         raise ValueError(
             f"{flagged} of {active} active rows would be flagged as deleted, "
             f"more than the allowed fraction {limit}"

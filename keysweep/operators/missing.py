@@ -24,10 +24,9 @@ from keysweep.operators.joins import distinct_keys, key_join
 from keysweep.spec import DELETED, FLAG_COLUMN
 from keysweep.storage import BROADCAST_LIMIT, Sized, row_bytes, stage, stage_sized
 
-# Keys are counted in this many buckets. A table is even if its fullest bucket holds at most this many
-# times the average, or few enough rows for any task.
-BUCKETS = 1024
-EVEN_FACTOR = 4
+# Keys are counted in this many buckets. A table is even if its fullest bucket, and so any key, holds few
+# enough rows for one task, however large the table is.
+BUCKETS = 1 << 16
 EVEN_ROWS = 1_000_000
 
 _IN_SOURCE = "__in_source"
@@ -74,7 +73,7 @@ class Spread:
     @property
     def even(self) -> bool:
         """Whether no key can hold many more rows than others: no key exceeds its bucket."""
-        return self.largest_bucket <= max(EVEN_FACTOR * self.rows // BUCKETS, EVEN_ROWS)
+        return self.largest_bucket <= EVEN_ROWS
 
 
 def key_spread(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> Spread:

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keysweep.functions.columns import column
 from keysweep.operators.joins import distinct_keys
@@ -93,3 +94,12 @@ def schema_diff(existing: DataFrame, new: DataFrame) -> DataFrame:
     )
     found = _compared(existing, new).select(TABLE, mismatch.alias("mismatch"))
     return found.filter(F.col("mismatch").isNotNull())
+
+
+def check_written(rows: DataFrame, stored: T.StructType) -> None:
+    """Refuse rows for a rewrite of stored ones that lack a column, add one or change its type."""
+    have = {f.name: f.dataType for f in rows.schema.fields}
+    want = {f.name: f.dataType for f in stored.fields}
+    if have != want:
+        differ = sorted(c for c in have.keys() | want.keys() if have.get(c) != want.get(c))
+        raise ValueError(f"the rows to write differ from the table in the columns {differ}")

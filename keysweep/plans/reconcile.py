@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from keysweep.operators.missing import (
     missing_keys,
     rows_with_keys,
 )
-from keysweep.operators.validate import check_columns, check_required, check_schema
+from keysweep.operators.validate import check_columns, check_required, check_schema, check_written
 from keysweep.sinks.audit import (
     COMPLETED,
     FAILED,
@@ -45,7 +46,9 @@ class Options:
     """How runs treat their tables."""
 
     gate: str = ALWAYS
-    max_delete_fraction: float = 0.5
+    # Refuses a run that would flag more than this part of the active rows. It guards the gate ``always``
+    # only, where an empty source would flag everything, and no dry run.
+    max_delete_fraction: float | None = None
     null_safe_keys: bool = False
     null_flag_is_active: bool = False
     snapshot_source: bool = True
@@ -98,7 +101,8 @@ def reconcile(
     if options.gate not in GATES:
         raise ValueError(f"unknown gate {options.gate!r}, expected one of {GATES}")
     run_time = run_time or utc_now()
-    folder = folder or work_folder(spark, spec.target_name)
+    # A given folder may serve many tables and runs, so each gets a new one below it.
+    folder = f"{folder.rstrip('/')}/{spec.target_name}-{uuid4().hex}" if folder else work_folder(spark, spec.target_name)
     counts: list[int | None] = [None, None]
 
     def record(status: str) -> DataFrame:
@@ -126,7 +130,8 @@ def reconcile(
         if gate_is_open(counts[0] - counts[1], options.gate):
             even = target_spread.even and source_spread.even
             update = _find_update_set(active, source_keys, even, spec, options, folder)
-            check_delete_fraction(update.size, counts[1], options.max_delete_fraction)
+            if options.gate == ALWAYS and not options.dry_run:
+                check_delete_fraction(update.size, counts[1], options.max_delete_fraction)
             bare = drop_meta(stored, spec.meta_prefix)
             update_rows = flag_deleted(bare, spec.flag_col)
             check_columns(bare, update_rows)
@@ -135,8 +140,11 @@ def reconcile(
                 _flag_in_place(stored, update, spec, options, path)
                 if database:
                     spark.catalog.refreshTable(f"`{database}`.`{spec.target_name}`")
-    except Exception:
-        record(FAILED)
+    except Exception as error:
+        try:
+            record(FAILED)
+        except Exception as unrecorded:
+            error.add_note(f"the failed run could not be recorded: {unrecorded}")
         raise
 
     flagged = update.size if update else 0
@@ -144,7 +152,13 @@ def reconcile(
     status = SKIPPED if idle else COMPLETED
     log.info("%s: %s, %d rows flagged", spec.target_name, status, flagged)
     missing = update.keys.rows if update else None
-    return Outcome(spec, status, counts[0], counts[1], flagged, missing, record(status))
+    try:
+        audit = record(status)
+    except Exception as error:
+        changed = "not changed" if options.dry_run or not flagged else f"changed: {flagged} rows are flagged"
+        error.add_note(f"the run could not be recorded; table {spec.target_name} was {changed}")
+        raise
+    return Outcome(spec, status, counts[0], counts[1], flagged, missing, audit)
 
 
 def _find_update_set(
@@ -179,9 +193,16 @@ def _flag_in_place(
         options.null_safe_keys,
         options.null_flag_is_active,
     )
+    check_written(rows, stored.schema)
     overwrite_partitions(rows, path, spec.partition_col, gather=not update.keys.small)
 
 
+class UnreconciledTables(ExceptionGroup):
+    """The errors of the tables that failed; ``outcomes`` are those of the tables that did not."""
+
+    outcomes: list[Outcome] = []
+
+
 def reconcile_all(
     spark: SparkSession,
     specs: Iterable[TableSpec],
@@ -192,7 +213,7 @@ def reconcile_all(
 ) -> list[Outcome]:
     """One run per table, by its name, ``parallel`` of them at a time.
 
-    A failed table does not stop the others; their errors are raised together at the end.
+    A failed table does not stop the others; their errors are raised together at the end, with the outcomes of the others.
     """
     specs = list(specs)
     for spec in specs:
@@ -211,7 +232,9 @@ def reconcile_all(
         results = list(pool.map(run, specs))
     errors = [result for result in results if isinstance(result, Exception)]
     if errors:
-        raise ExceptionGroup("some tables were not reconciled", errors)
+        group = UnreconciledTables("some tables were not reconciled", errors)
+        group.outcomes = [result for result in results if isinstance(result, Outcome)]
+        raise group
     return results
 
 

@@ -1,7 +1,9 @@
-"""The audit table: one record per run, appended; the last record of a key counts."""
+"""The audit table: one record per run, put by its key; each key has a folder of its own, so runs can record in parallel."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +11,14 @@ from keysweep.functions.naming import audit_key
 from keysweep.operators.latest import latest_wins
 from keysweep.spec import TableSpec
 
+# States of a run, and the fields of its record.
 COMPLETED, SKIPPED, FAILED = "Completed", "Skipped", "Failed"
 SCHEMA = (
     "soft_delete_key string, source_table_name string, target_table_name string, "
     "source_table_count bigint, target_table_count bigint, record_count_diff bigint, "
     "status string, last_run_ts string, job_run_id string"
 )
+FIELDS = [field.split()[0] for field in SCHEMA.split(", ")]
 _WRITTEN = "__written"
 
 
@@ -44,11 +48,15 @@ def counts_frame(spark: SparkSession, source: int | None, target: int | None) ->
 
 
 def append_audit(record: DataFrame, path: str) -> None:
-    record.coalesce(1).write.mode("append").parquet(path)
+    """Put the record, which replaces one of the same key."""
+    for row in record.collect():
+        folder = hashlib.sha256((row.soft_delete_key or "").encode()).hexdigest()
+        put = record.sparkSession.createDataFrame([tuple(row[c] for c in FIELDS)], SCHEMA)
+        put.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{folder}")
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    """The records by key; of several with one key, the one written last."""
-    records = spark.read.schema(SCHEMA).parquet(path)
+    """The records by key. Of several with one key, as older versions appended them, the one written last."""
+    records = spark.read.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(path)
     written = records.withColumn(_WRITTEN, F.col("_metadata.file_modification_time"))
     return latest_wins(written, ["soft_delete_key"], _WRITTEN).drop(_WRITTEN)

@@ -11,7 +11,7 @@ from keysweep.functions.columns import column, in_values, null_fill, quoted
 from keysweep.operators.joins import null_safe_join
 from keysweep.operators.latest import latest_wins
 from keysweep.operators.upsert import COPIES, at_home, merge, stored_homes
-from keysweep.operators.validate import check_required
+from keysweep.operators.validate import check_required, check_written
 from keysweep.sources.target import read_target
 from keysweep.spec import PARTITION_COLUMN
 from keysweep.storage import BROADCAST_LIMIT, sized, stage, work_folder
@@ -92,6 +92,7 @@ def upsert_to_path(
         batch = sized(placed, broadcast_limit)
         affected = stored.filter(in_values(partition_col, touched))
         rows = merge(affected, batch.rows, keys, ordering, ordering_type, batch.hint)
+        check_written(rows, stored.schema)
         overwrite_partitions(rows, path, partition_col, codec, gather=not batch.small)
     return latest.count()
 
@@ -115,10 +116,23 @@ def publish_table(
             f"CREATE TABLE {name} ({columns}) USING parquet "
             f"PARTITIONED BY ({quoted(partition_col)}) LOCATION {_literal(path)}"
         )
+    else:
+        check_registration(spark, name, path, read_target(spark, path, partition_col=partition_col).columns)
     spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return name
 
 
+def check_registration(spark: SparkSession, name: str, path: str, columns: Sequence[str]) -> None:
+    """Refuse a table that is known with another place, or without a column of its files."""
+    facts = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    plain = lambda place: "/" + place.split(":", 1)[-1].strip("/")
+    if plain(facts["Location"]) != plain(path):
+        raise ValueError(f"table {name} is registered at {facts['Location']}, not at {path}")
+    unknown = sorted(set(columns) - set(spark.table(name).columns))
+    if unknown:
+        raise ValueError(f"table {name} is registered without the columns {unknown}")
+
+
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

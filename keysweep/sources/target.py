@@ -30,10 +30,11 @@ def read_target(
     """All rows of the partitioned Parquet table at ``path``, in its stored types.
 
     Spark would guess the type of the partition column from directory names, and turn ``007`` into 7.
-    Without a ``schema`` it is read as the text it was written as.
+    Without a ``schema`` it is read as the text it was written as, and the schemas of all files are merged: a column
+    that only some files have is NULL in the rows of the others. Files that disagree on a type fail the read.
     """
     if schema is None:
-        found = spark.read.parquet(path).schema
+        found = spark.read.option("mergeSchema", "true").parquet(path).schema
         schema = T.StructType(
             [T.StructField(f.name, T.StringType()) if f.name == partition_col else f for f in found]
         )

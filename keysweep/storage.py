@@ -36,8 +36,8 @@ def work_folder(spark: SparkSession, purpose: str = "run") -> str:
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` once and return the written rows."""
-    df.write.mode("overwrite").parquet(path)
+    """Write ``df`` once, to a folder that does not exist yet, and return the written rows."""
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

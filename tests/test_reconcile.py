@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import keysweep as ks
 from checks import fixtures as fx
+from keysweep.functions.columns import align_keys
 from keysweep.operators.counts import SOURCE_EXCEEDS_TARGET, gate_is_open
 from keysweep.plans.reconcile import Options, reconcile, reconcile_all
 from keysweep.sources.target import read_target
@@ -133,7 +134,10 @@ def test_dry_run_counts_but_does_not_write(spark, target):
 def test_empty_source_is_refused_and_audited(spark, target):
     audit = work_folder(spark, "audit") + "/audit"
     with pytest.raises(ValueError, match="6 of 6 active rows"):
-        reconcile(spark, SPEC, keys(spark), target, audit_path=audit, run_time="2024-01-01 00:00:00")
+        reconcile(
+            spark, SPEC, keys(spark), target, audit_path=audit, run_time="2024-01-01 00:00:00",
+            options=Options(max_delete_fraction=0.5),
+        )
     assert flagged_by(spark, target) == set()
     record = ks.read_audit(spark, audit).first()
     assert (record.status, record.source_table_count, record.target_table_count) == ("Failed", 0, 6)
@@ -262,7 +266,7 @@ def test_all_tables_are_run_and_errors_are_raised_at_the_end(spark, parallel):
     specs = [ks.TableSpec(name, ("k",), ordering="o") for name in paths]
     sources = {"good": keys(spark, 1, 6, 7, 8), "bad": keys(spark), "late": keys(spark, 1, 2, 6, 7)}
     with pytest.raises(ExceptionGroup) as raised:
-        reconcile_all(spark, specs, sources, paths, parallel=parallel)
+        reconcile_all(spark, specs, sources, paths, parallel=parallel, options=Options(max_delete_fraction=0.5))
     assert len(raised.value.exceptions) == 1
     assert raised.value.exceptions[0].__notes__ == ["table bad"]
     assert flagged_by(spark, paths["good"]) == {"b", "e"}
@@ -275,3 +279,117 @@ def test_all_tables_are_checked_before_the_first_run(spark, target):
     with pytest.raises(ValueError, match="no source or no path is given for table u"):
         reconcile_all(spark, specs, {"t": keys(spark, 1)}, {"t": target})
     assert flagged_by(spark, target) == set()
+
+
+def test_the_limit_guards_neither_the_parity_gate_nor_dry_runs(spark, target):
+    dry = reconcile(spark, SPEC, keys(spark), target, options=Options(max_delete_fraction=0.1, dry_run=True))
+    assert dry.flagged_count == 6
+    rest = keys(spark, *range(100, 110))
+    options = Options(max_delete_fraction=0.1, gate=SOURCE_EXCEEDS_TARGET)
+    assert reconcile(spark, SPEC, rest, target, options=options).flagged_count == 6
+
+
+def test_parallel_runs_share_a_folder_and_an_audit_table(spark):
+    base = work_folder(spark, "many")
+    specs = [ks.TableSpec(f"t{k}", ("id",), "at") for k in range(8)]
+    rows = spark.range(40).selectExpr("id", "id as at", "'0' as is_deleted", "'p' || id % 2 as partition_key")
+    for spec in specs:
+        ks.write_partitioned(rows, f"{base}/{spec.name}")
+    sources = {s.name: spark.range(40).filter(f"id <> {k} and id <> 20") for k, s in enumerate(specs)}
+    paths = {s.name: f"{base}/{s.name}" for s in specs}
+    outcomes = ks.reconcile_all(spark, specs, sources, paths, parallel=8, folder=f"{base}/runs", audit_path=f"{base}/audit")
+    for k, outcome in enumerate(outcomes):
+        assert {r.id for r in outcome.missing_keys.collect()} == {k, 20}
+        flagged = ks.read_target(spark, paths[f"t{k}"]).filter("is_deleted = '1'")
+        assert {r.id for r in flagged.collect()} == {k, 20}
+    assert ks.read_audit(spark, f"{base}/audit").filter("status = 'Completed'").count() == 8
+
+
+def test_outcomes_of_the_other_tables_come_with_the_errors(spark, target):
+    other = ks.TableSpec("other", ("id",), "at")
+    with pytest.raises(ExceptionGroup) as raised:
+        ks.reconcile_all(
+            spark, [SPEC, other], {SPEC.name: keys(spark, 1), "other": keys(spark, 1)}, {SPEC.name: target, "other": "/no/such/folder"}
+        )
+    assert [o.spec.name for o in raised.value.outcomes] == [SPEC.name]
+
+
+def test_a_run_that_cannot_be_recorded_says_what_it_changed(spark, target, tmp_path):
+    (tmp_path / "audit").write_text("a file, not a folder")
+    with pytest.raises(Exception) as raised:
+        reconcile(spark, SPEC, keys(spark, 1), target, audit_path=str(tmp_path / "audit"))
+    assert any("was changed" in note for note in raised.value.__notes__)
+
+
+@pytest.mark.parametrize("newer_first", [True, False])
+def test_columns_of_some_files_survive_both_rewrites(spark, newer_first):
+    path = work_folder(spark, "t") + "/table"
+    old = spark.range(10).selectExpr("id", "id as at", "'0' as is_deleted", "'p' as partition_key")
+    new = spark.range(10, 20).selectExpr("id", "id as at", "id * 2 as extra", "'0' as is_deleted", "'p' as partition_key")
+    for rows in (new, old) if newer_first else (old, new):
+        rows.coalesce(1).write.mode("append").partitionBy("partition_key").parquet(path)
+    spec = ks.TableSpec("t", ("id",), "at")
+    reconcile(spark, spec, spark.range(1, 20), path)
+    ks.upsert_to_path(spark, spark.createDataFrame([(3, 99)], "id long, at long"), path, ["id"], "at")
+    found = {r.id: r for r in ks.read_target(spark, path).collect()}
+    assert found[0].is_deleted == "1" and found[3].at == 99
+    assert {i: r.extra for i, r in found.items()} == {i: i * 2 if i >= 10 else None for i in range(20)}
+
+
+def test_rows_that_lack_a_column_are_not_written(spark):
+    from keysweep.operators.validate import check_written
+
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    check_written(df, df.schema)
+    for other in (df.drop("v"), df.withColumn("w", df["v"]), df.withColumn("id", df["id"].cast("long"))):
+        with pytest.raises(ValueError, match="differ from the table"):
+            check_written(other, df.schema)
+
+
+def test_a_known_table_elsewhere_is_refused(spark):
+    base = work_folder(spark, "c")
+    rows = spark.createDataFrame([(1, "p")], "id int, partition_key string")
+    ks.write_partitioned(rows, f"{base}/one")
+    ks.write_partitioned(rows.withColumn("more", rows["id"]), f"{base}/two")
+    database = "elsewhere"
+    ks.publish_table(spark, f"{base}/one", database, "t", database_path=f"{base}/db")
+    ks.publish_table(spark, f"{base}/one", database, "t")
+    with pytest.raises(ValueError, match="is registered at"):
+        ks.publish_table(spark, f"{base}/two", database, "t")
+    rows.withColumn("more", rows["id"]).write.mode("append").partitionBy("partition_key").parquet(f"{base}/one")
+    with pytest.raises(ValueError, match="without the columns"):
+        ks.publish_table(spark, f"{base}/one", database, "t")
+
+
+@pytest.mark.parametrize(
+    ("value", "have", "want"),
+    [
+        ("'1.239'", "string", "decimal(10,2)"), ("timestamp_ntz'2024-01-01 10:00:00'", "timestamp_ntz", "date"),
+        ("'2024-01-01 10:00:00'", "string", "date"), ("'007'", "string", "int"), ("7.5", "double", "int"),
+    ],
+)
+def test_keys_that_lose_something_are_refused(spark, value, have, want):
+    source = spark.sql(f"select cast({value} as {have}) as k")
+    target = spark.sql(f"select cast(null as {want}) as k")
+    with pytest.raises(Exception, match="source key k is not"):
+        align_keys(source, target.schema, ["k"]).collect()
+
+
+@pytest.mark.parametrize(
+    ("value", "have", "want"),
+    [
+        ("'1.23'", "string", "decimal(10,3)"), ("timestamp_ntz'2024-01-01 00:00:00'", "timestamp_ntz", "date"),
+        ("'2024-01-01'", "string", "date"), ("'7'", "string", "int"), ("7", "int", "string"), ("7.0", "double", "int"),
+        ("'2024-01-01T10:00:00'", "string", "timestamp_ntz"), ("null", "string", "int"),
+    ],
+)
+def test_exact_key_conversions(spark, value, have, want):
+    source = spark.sql(f"select cast({value} as {have}) as k")
+    target = spark.sql(f"select cast(null as {want}) as k")
+    assert align_keys(source, target.schema, ["k"]).count() == 1
+    align_keys(source, target.schema, ["k"]).collect()
+
+
+def test_latest_row_of_a_table_with_maps(spark):
+    df = spark.sql("select 1 as k, 1 as o, map('a', 1) as m union all select 1, 1, map('a', 2)")
+    assert [r.m for r in ks.latest_wins(df, ["k"], "o").collect()] == [{"a": 2}]

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from keysweep.spec import TableSpec
 
-# Read settings of the source.
+# Read settings of the source. More rows than PARALLEL_ABOVE are read over PARTITIONS connections, or
+# as many more as keep each of them below that number.
 FETCH_SIZE = 10_000
 PARALLEL_ABOVE = 1_000_000
 PARTITIONS = 10
@@ -82,8 +83,15 @@ def bounds_query(table: str, key: str, quote: str = '"') -> str:
     return f"(SELECT {figures} FROM {quoted(table, quote)}) subq"
 
 
-def is_parallel(target_count: int) -> bool:
-    return target_count > PARALLEL_ABOVE
+def count_query(table: str, quote: str = '"') -> str:
+    return f"(SELECT COUNT(*) AS n FROM {quoted(table, quote)}) subq"
+
+
+def connections(source_count: int, partitions: int | None = None) -> int:
+    """How many connections read a source of this size: one if it is small, else so that each reads a bounded part."""
+    if source_count <= PARALLEL_ABOVE:
+        return 1
+    return partitions or max(PARTITIONS, -(-source_count // PARALLEL_ABOVE))
 
 
 def range_options(key: str, low: object, high: object, partitions: int) -> dict[str, str]:
@@ -139,18 +147,21 @@ def read_source_keys(
     settings: Mapping[str, str],
     target_count: int,
     split: str = AUTO,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """The keys of every source row, in parallel where the target is large.
+    """The keys of every source row, in parallel where the source is large, by its own count.
 
-    ``split`` says how: by range, by remainder, or by range only where that must come out even.
+    ``split`` says how: by range, by remainder, or by range only where that must come out even. ``target_count`` is what
+    the job passes to any source; a small target says nothing about the size of a new source, so it is not used.
     """
     if split not in (AUTO, RANGE, REMAINDER):
         raise ValueError(f"unknown split {split!r}, expected {AUTO}, {RANGE} or {REMAINDER}")
     options = connection_options(profile, settings)
     query = key_query(spec.name, spec.keys, profile.quote)
     plain = spark.read.format("jdbc").options(**options, dbtable=query)
-    if not is_parallel(target_count):
+    counted = spark.read.format("jdbc").options(**options, dbtable=count_query(spec.name, profile.quote))
+    partitions = connections(counted.load().first()[0], partitions)
+    if partitions == 1:
         return plain.load().toDF(*spec.keys)
 
     schema = plain.load().schema

@@ -54,9 +54,9 @@ def test_identifiers_are_quoted():
         jdbc.key_query("t; drop table u", ["id"], "")
 
 
-def test_parallel_threshold():
-    assert not jdbc.is_parallel(1_000_000)
-    assert jdbc.is_parallel(1_000_001)
+def test_connections_follow_the_source():
+    assert [jdbc.connections(n) for n in (0, 1_000_000, 1_000_001, 10_000_001, 3 * 10**9)] == [1, 1, 10, 11, 3000]
+    assert [jdbc.connections(n, 4) for n in (5, 10**9)] == [1, 4]
 
 
 @pytest.mark.parametrize("partitions", [1, 7, 10])
@@ -107,7 +107,8 @@ class Reader:
 
     def load(self):
         self.log.append(self.chosen)
-        return self.frames["bounds" if "MIN(" in self.chosen["dbtable"] else "keys"]
+        query = self.chosen["dbtable"]
+        return self.frames["bounds" if "MIN(" in query else "count" if "COUNT(" in query else "keys"]
 
     def jdbc(self, url, table, predicates, properties):
         self.log.append({"url": url, "dbtable": table, "predicates": predicates, **properties})
@@ -120,8 +121,11 @@ def read(spark, count, key_type="bigint", bounds=(3, 90, 60), spec=SPEC, **kwarg
     frames = {
         "keys": spark.createDataFrame([], ", ".join(columns)),
         "bounds": spark.createDataFrame([bounds], "lo bigint, hi bigint, n bigint"),
+        "count": spark.createDataFrame([(count,)], "n bigint"),
     }
-    rows = jdbc.read_source_keys(Reader(frames, log), spec, PASSWORD, SECRETS, count, **kwargs)
+    # A target of one row must not decide how a large source is read.
+    rows = jdbc.read_source_keys(Reader(frames, log), spec, PASSWORD, SECRETS, 1, **kwargs)
+    assert log.pop(0)["dbtable"] == f'(SELECT COUNT(*) AS n FROM "{spec.name}") subq'
     assert rows.columns == list(spec.keys)
     return log
 
@@ -129,7 +133,7 @@ def read(spark, count, key_type="bigint", bounds=(3, 90, 60), spec=SPEC, **kwarg
 ONE_KEY = ks.TableSpec("heads", ("id",), ordering="o")
 
 
-def test_small_target_is_read_over_one_connection(spark):
+def test_small_source_is_read_over_one_connection(spark):
     (options,) = read(spark, 1_000_000)
     assert options["dbtable"] == '(SELECT "id", "line" FROM "lines") subq'
     assert "partitionColumn" not in options
@@ -187,11 +191,11 @@ def test_jdbc_source_checks_its_profile_first(spark):
     with pytest.raises(ValueError, match="lacks settings"):
         ks.jdbc_source(spark, spec, profiles, {})
     log = []
-    frames = {"keys": spark.createDataFrame([(1, 2)], "ID bigint, LINE int")}
+    frames = {"keys": spark.createDataFrame([(1, 2)], "ID bigint, LINE int"), "count": spark.createDataFrame([(1,)], "n bigint")}
     source = ks.jdbc_source(Reader(frames, log), spec, profiles, SECRETS)
     assert log == []
     assert [tuple(row) for row in source(5).collect()] == [(1, 2)]
-    assert len(log) == 1
+    assert len(log) == 2
 
 
 def test_csv_keeps_quotes_line_breaks_blanks_and_zeros(spark):

@@ -26,11 +26,7 @@ HEADLINE = (
     "left_join_flagged",
     "missing_in_source_single",
     "missing_in_source_pair",
-    "missing_in_source_pair_wide",
-    "missing_in_source_pair_by_key",
     "missing_in_source_five",
-    "missing_in_source_five_wide",
-    "missing_in_source_five_by_key",
     "missing_in_source_five_nullsafe",
     "run_counts",
     "latest_wins_pair",
@@ -40,6 +36,7 @@ HEADLINE = (
     "partitioned_publish",
     "soft_delete_end_to_end",
     "reconcile_all_configured",
+    "reconcile_evolved_files",
 )
 RUNS = 3
 

@@ -23,9 +23,9 @@ CODEC = "gzip"
 def write_partitioned(
     df: DataFrame, path: str, partition_col: str = PARTITION_COLUMN, codec: str = CODEC
 ) -> None:
-    """A new table in Hive-style directories. Rows are not moved between tasks, so no partition,
-    however large, ends up in one task."""
-    df.write.partitionBy(partition_col).option("compression", codec).parquet(path)
+    """A new table in Hive-style directories. Rows of a partition are brought together, in as many tasks as its size
+    needs, so that not every task writes a file into every partition."""
+    df.hint("rebalance", column(partition_col)).write.partitionBy(partition_col).option("compression", codec).parquet(path)
 
 
 def overwrite_partitions(

@@ -274,3 +274,34 @@ def test_scores(spark, frame):
     assert found[1].n_words == 0 and found[1].log_probability == 0 and found[1].mean_log_probability is None
     assert found[1005].log_probability == pytest.approx(found[1005].mean_log_probability * 600)
     assert lm_score.lm_score(frame([])).count() == 0
+
+
+def test_words_of_a_bucket_are_told_apart(spark, frame):
+    rng = random.Random(3)
+    common = [f"w{i}" for i in range(1300)] * 20
+    rng.shuffle(common)
+    rows = [(i, " ".join(common[i * 260 : i * 260 + 260])) for i in range(100)] + [(200, " ".join(f"junk{i}" for i in range(260)))]
+    docs = frame(rows).select("text")
+    counts = lm_score.counted_words(docs).cache()
+    words, members, floor = lm_score.vocabulary_of(counts, lm_score.KNOWN)
+    hashes = np.array([r.hash for r in counts.collect()], np.int64).view(np.uint64)
+    outside = hashes[words(hashes) >= words.pad - words.buckets]
+    shares, rare = members(outside)
+    # The shares of all words of a bucket add up to one.
+    assert len(outside) == 1560 - 896 and floor == 1 and not rare.any()
+    assert np.bincount(words(outside), np.exp(shares))[words(outside)] == pytest.approx(1)
+    found = {r.doc_id: r for r in lm_score.lm_score(frame(rows)).collect()}
+    assert found[200].mean_log_probability < min(found[i].mean_log_probability for i in range(100)) - 1
+    # Words joined with their counts get what those of the broadcast table get.
+    for known in (0, 1300):
+        again = {r.doc_id: r.log_probability for r in lm_score.lm_score(frame(rows), known=known).collect()}
+        assert again == pytest.approx({i: r.log_probability for i, r in found.items()}, rel=1e-4)
+
+
+def test_vocabulary_grows(spark):
+    sides = []
+    for words in (500, 4000, 80_000):
+        counts = spark.range(words).select(F.xxhash64("id").alias("hash"), F.lit(1000).cast("long").alias("n"))
+        sides.append(lm_score.vocabulary_of(counts, lm_score.KNOWN)[0].side)
+    assert sides[0] == lm_score.CLASSES < sides[1] < 100
+    assert lm_score.Network(side=300).narrow == np.uint32 and lm_score.buckets_of(lm_score.CLASSES) == lm_score.BUCKETS

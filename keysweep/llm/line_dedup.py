@@ -16,6 +16,12 @@ Lines with the same words are one class from the start. Classes are linked by th
    and each is joined to that one alone: no pairs of members are formed.
 3. The edit distance of every joined pair is verified on the words. The earliest close line is the least of its partners.
 
+With ``words_per_edit`` the bound grows with the line: the shorter of two lines, of n words, allows n // ``words_per_edit`` edits of
+a word, whatever ``min_words`` is, and from ``min_words`` on one at least. One of k + 1 pieces of the shorter line is then found
+unchanged in the longer one, at most k places away. So lines emit their pieces and all their windows of the lengths that pieces have,
+a few for each word; pieces meet windows, and the edit distance of every such pair is verified in a band. A piece that is common
+to many lines gives all pairs of them: the wider bound costs more, and is off by default.
+
 Keys are reduced to their least and greatest class before they are shuffled; joins are sort-merge joins of
 stored tables, of which Spark splits hot keys.
 
@@ -27,6 +33,7 @@ are not earlier than each other; an empty table gives an empty result; other col
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -262,7 +269,106 @@ def one_edit(a: list[str], b: list[str]) -> bool:
     return rest_a[1:] == rest_b if len(a) > len(b) else rest_a == rest_b[1:]
 
 
-def removed_lines(docs: DataFrame, stage: Stage, min_words: int) -> DataFrame:
+def edits_of(count: int, min_words: int, words_per_edit: int) -> int:
+    """Edits that a line of ``count`` words allows in comparison with one as long or longer."""
+    return max(count // words_per_edit, int(count >= min_words))
+
+
+@lru_cache(10_000)
+def piece_sizes(count: int, min_words: int, words_per_edit: int) -> list[int]:
+    """Lengths of the pieces of all lines that a line of ``count`` words may be close to and not shorter than."""
+    found, shorter = set(), count
+    while shorter and shorter + (k := edits_of(shorter, min_words, words_per_edit)) >= count:
+        if k:
+            found |= {shorter // (k + 1), -(-shorter // (k + 1))}
+        shorter -= 1
+    return sorted(found)
+
+
+def piece_keys(texts: DataFrame, min_words: int, words_per_edit: int) -> DataFrame:
+    """(key, piece, edits, n, at, c1, c2): pieces of each line and its windows that a piece of a shorter line may equal."""
+
+    def find(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = flat(batch.column("words"))
+        starts, ends, firsts = spans(data, offsets, SPACED)
+        words = span_hashes(data, starts, ends, BYTE_BASE)
+        none = np.empty(0, np.int64)
+        row, at, size, edits = [none], [none], [none], [none]
+
+        def add(i: int, places: np.ndarray, length, k: int) -> None:
+            for out, value in ((row, i), (size, length), (edits, k)):
+                out.append(np.broadcast_to(value, len(places)))
+            at.append(places)
+
+        for i, n in enumerate(np.diff(firsts).tolist()):
+            k = edits_of(n, min_words, words_per_edit)
+            if k:
+                bounds = n * np.arange(k + 2) // (k + 1)
+                add(i, bounds[:-1], np.diff(bounds), k)
+            for length in piece_sizes(n, min_words, words_per_edit):
+                add(i, np.arange(n - length + 1), length, 0)
+        row, at, size, edits = map(np.concatenate, (row, at, size, edits))
+        take = pa.array(row)
+        return batch_of(
+            key=signed(range_hashes(words, firsts[row] + at, size)),
+            edits=edits.astype(np.int32),
+            n=np.diff(firsts)[row].astype(np.int32),
+            at=at.astype(np.int32),
+            **{name: batch.column(name).take(take) for name in ("c1", "c2")},
+        )
+
+    schema = "key long, edits int, n int, at int, c1 long, c2 long"
+    return map_pieces(texts, ["c1", "c2", "words"], find, schema, text="words")
+
+
+def far_partners(texts: DataFrame, stage: Stage, min_words: int, words_per_edit: int) -> DataFrame:
+    """(c1, c2, place): of each class, the places of all close lines by the bound that grows with the line."""
+    cls = F.struct("c1", "c2")
+    keys = stage(piece_keys(texts, min_words, words_per_edit), "pieces")
+    groups = keys.groupBy("key").agg(F.max("edits").alias("most"), F.min(cls).alias("least"), F.max(cls).alias("last"))
+    shared = stage(groups.filter("most > 0 and least <> last").select("key"), "shared")
+    met = stage(keys.join(shared.hint("merge"), "key", "left_semi"), "met")
+    windows = met.filter("edits = 0").select("key", F.col("n").alias("m"), F.col("at").alias("there"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
+    near = "m between n and n + edits and abs(at - there) <= edits and (m > n or c1 < d1 or (c1 = d1 and c2 < d2))"
+    pairs = met.filter("edits > 0").join(windows.hint("merge"), "key").filter(near)
+    pairs = stage(pairs.select("c1", "c2", "d1", "d2", "edits").distinct(), "pairs")
+    place = F.struct("id", "digest", "line")
+    own = texts.select("c1", "c2", place.alias("p1"), F.col("words").alias("w1"))
+    others = texts.select(F.col("c1").alias("d1"), F.col("c2").alias("d2"), place.alias("p2"), F.col("words").alias("w2"))
+    both = pairs.join(own.hint("merge"), ["c1", "c2"]).join(others.hint("merge"), ["d1", "d2"])
+    names = ["c1", "c2", "p1", "d1", "d2", "p2"]
+
+    def check(batches):
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("w1", "w2", "edits"))
+            yield batch.filter(pa.array([within(a.split(" "), b.split(" "), k) for a, b, k in zip(*columns)], pa.bool_())).select(names)
+
+    ship(texts.sparkSession)
+    struct = "struct<id:long,digest:long,line:int>"
+    close = both.select(*names, "w1", "w2", "edits").mapInArrow(check, f"c1 long, c2 long, p1 {struct}, d1 long, d2 long, p2 {struct}")
+    sides = F.array(F.struct("c1", "c2", F.col("p2").alias("place")), F.struct(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.col("p1").alias("place")))
+    return close.select(F.explode(sides).alias("side")).select("side.*")
+
+
+def within(a: list[str], b: list[str], most: int) -> bool:
+    """Whether the edit distance of word lists is at most ``most``; only places that far from the diagonal are looked at."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    far = most + 1
+    row = {j: j for j in range(min(most, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        last, row = row, {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            if j == 0:
+                row[j] = i
+                continue
+            row[j] = min(last.get(j, far) + 1, row.get(j - 1, far) + 1, last.get(j - 1, far) + (x != b[j - 1]))
+        if min(row.values()) > most:
+            return False
+    return row[len(b)] <= most
+
+
+def removed_lines(docs: DataFrame, stage: Stage, min_words: int, words_per_edit: int | None = None) -> DataFrame:
     """(id, digest, gone): numbers of the lines to remove, for each text that loses any."""
     place = F.struct("id", "digest", "line")
     lines = stage(line_table(docs, min_words), "lines")
@@ -272,13 +378,21 @@ def removed_lines(docs: DataFrame, stage: Stage, min_words: int) -> DataFrame:
         ),
         "classes",
     )
-    found = suspects(classes, stage)
+    if words_per_edit is None:
+        found = suspects(classes, stage)
+    else:
+        # Lines that allow no edit may still be the longer ones of a pair; all are looked at.
+        found = classes.select("c1", "c2", F.array().cast("array<struct<side:int,other:int>>").alias("sides"))
     wanted = found.join(classes.select("c1", "c2", "first").hint("merge"), ["c1", "c2"]).select(
         "first.id", "first.digest", F.struct("first.line", "c1", "c2", "sides").alias("line")
     )
     wanted = wanted.groupBy("id", "digest").agg(F.collect_set("line").alias("lines"))
     texts = stage(suspect_texts(docs, wanted).dropDuplicates(["c1", "c2"]), "texts")
-    close = stage(partners(stage(neighbourhood(texts), "variants"), texts, stage).groupBy("c1", "c2").agg(F.min("place").alias("close")), "close")
+    if words_per_edit is None:
+        near = partners(stage(neighbourhood(texts), "variants"), texts, stage)
+    else:
+        near = far_partners(texts, stage, min_words, words_per_edit)
+    close = stage(near.groupBy("c1", "c2").agg(F.min("place").alias("close")), "close")
     earliest = classes.join(close.hint("merge"), ["c1", "c2"], "left").select(
         "c1", "c2", "last", F.least("first", F.coalesce("close", "first")).alias("earliest")
     )
@@ -295,18 +409,21 @@ def line_dedup(
     min_words: int = MIN_WORDS,
     emptied: bool = True,
     count_col: str | None = None,
+    words_per_edit: int | None = None,
 ) -> DataFrame:
     """``docs`` without the removed lines, and with their number in a new column ``count_col`` if it is given.
 
-    Texts that lose all their words stay as rows, unless ``emptied`` is false.
+    Texts that lose all their words stay as rows, unless ``emptied`` is false. Without ``words_per_edit`` one edit is allowed at most.
     """
     if min_words < 4:
         raise ValueError("min_words must be at least 4")
+    if words_per_edit is not None and words_per_edit < 2:
+        raise ValueError("words_per_edit must be at least 2")
     if count_col and count_col in docs.columns:
         raise ValueError(f"there is a column {count_col} already")
     stage = Stage(docs.sparkSession, "line-dedup")
     plain = docs.select(column(id_col).cast("bigint").alias("id"), text_digest(text_col).alias("digest"), column(text_col).alias("text"))
-    gone = removed_lines(plain, stage, min_words)
+    gone = removed_lines(plain, stage, min_words, words_per_edit)
     own, digest, lines = (free_name(docs, n) for n in ("line_id", "line_digest", "line_gone"))
     gone = gone.select(F.col("id").alias(own), F.col("digest").alias(digest), F.col("gone").alias(lines))
     met = column(id_col).cast("bigint").eqNullSafe(column(own)) & (text_digest(text_col) == column(digest))

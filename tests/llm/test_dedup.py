@@ -125,3 +125,33 @@ def test_lines_of_odd_rows(frame):
     assert ld.line_dedup(frame(rows), emptied=False).filter(F.col("doc_id") == 4).count() == 0
     assert ld.line_dedup(frame(rows), emptied=False).count() == 5
     assert ld.line_dedup(frame([])).count() == 0
+
+
+@pytest.mark.parametrize("rate", [3, 10])
+def test_lines_with_a_growing_bound(frame, corpus, rate):
+    rng = np.random.default_rng(rate)
+    base = [f"v{i}" for i in range(57)]
+    forms = [base, base[:20] + ["a", "b"] + base[21:], [*base[:9], "x", *base[10:40], "y", *base[41:]], base[3:], ["z"] * 9 + base[9:]]
+    rows = [(500 + i, " ".join(f)) for i, f in enumerate(forms)] + [(600, "one two three four"), (601, "one two three 4"), (602, "one two 3 4")]
+    # Lines of all lengths with random edits, about as many as allowed.
+    for n in (3, 5, 6, 9, 20, 31):
+        line = [f"l{n}-{k % 7}" for k in range(n)]
+        for e in range(4):
+            other = list(line)
+            for at in rng.integers(0, n, e * (n // rate + 1) // 2):
+                other[at % len(other) : at % len(other) + rng.integers(0, 2)] = ["n"] * rng.integers(0, 2)
+            rows.append((700 + 10 * n + e, " ".join(other)))
+    rows = corpus + rows
+    seen, want = [], {}
+    for i, text in sorted(rows):
+        kept = []
+        for line in text.split("\n"):
+            w = brute.words(line)
+            allowed = [(o, max(min(len(w), len(o)) // rate, min(len(w), len(o)) >= 8)) for o in seen]
+            if not w or not any(abs(len(w) - len(o)) <= k and brute.distance(w, o) <= k for o, k in allowed):
+                kept.append(line)
+            if w:
+                seen.append(w)
+        want[i] = "\n".join(kept)
+    assert by_id(ld.line_dedup(frame(rows), words_per_edit=rate), "text") == want
+    assert want != brute.lines(rows, 8)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 from html import unescape
 
+# A quote opens a value right after "=" only; any other one is an ordinary character of the tag.
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)>?""",
+    r"""|<([a-zA-Z][^\s/>]*)((?:[^>"'=]++|=\s*+(?:"[^"]*"|'[^']*')?|["'])*+)>?""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""(?:^|\s|["'])(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)

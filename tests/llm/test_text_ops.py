@@ -305,3 +305,12 @@ def test_vocabulary_grows(spark):
         sides.append(lm_score.vocabulary_of(counts, lm_score.KNOWN)[0].side)
     assert sides[0] == lm_score.CLASSES < sides[1] < 100
     assert lm_score.Network(side=300).narrow == np.uint32 and lm_score.buckets_of(lm_score.CLASSES) == lm_score.BUCKETS
+
+
+def test_stray_quotes_end_with_their_tag():
+    text = lambda html: [t for t in Page(html).texts if t]
+    html = '<article><img alt="a 5" screen"><p>Main text one.</p><p class="x">two</p><a href="/q">three</a></article>'
+    assert text(html) == ["Main text one.", "two", "three"]
+    assert text("<div data-t='it's'>a</div><p>it's b</p>") == ["a", "it's b"]
+    assert text("""<p title = "a > b" id='c>d' x=">e</p>""") == ["e"]
+    assert text("<p a=b'c>one</p><p>it's</p>") == ["one", "it's"]

@@ -15,7 +15,7 @@ ATTRIBUTE = re.compile(r"""(?:^|\s|["'])(?:class|id|role|itemprop)\s*=\s*("[^"]*
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 # Elements whose content is never text of a page, and those whose content holds no tags.
-DROPPED = frozenset("head script style noscript template iframe svg math object audio video canvas select option button textarea datalist map".split())
+DROPPED = frozenset("head script style template select option button textarea datalist".split())
 RAW = frozenset("script style textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -156,7 +156,7 @@ class Page:
                     lower = html.lower() if lower is None else lower
                     # A change of length by lower case would move places; such letters are rare, and found again.
                     lower = html if len(lower) != len(html) else lower
-                    at = after_element(lower, at, tag)
+                    at = after_element(lower, at, tag, self.tags[self.open[-1]])
             elif tag in BLOCKS:
                 self.begin(tag, found.group(3))
             elif tag == "br":
@@ -165,10 +165,21 @@ class Page:
                 self.in_link = True
 
 
-def after_element(html: str, at: int, tag: str) -> int:
+def end_of_parent(html: str, at: int, stop: int, parent: str) -> int:
+    """Where the block that is open at ``at`` is closed before ``stop``, or -1. A paragraph is closed by the next one, too."""
+    depth = 0
+    for found in re.compile(rf"<(/?){re.escape(parent)}(?=[\s/>])").finditer(html, at, stop):
+        depth += -1 if found[1] or parent == "p" else 1
+        if depth < 0:
+            return found.start()
+    return -1
+
+
+def after_element(html: str, at: int, tag: str, parent: str) -> int:
     """Where the element that was opened before ``at`` ends; an element that nothing closes ends where it began.
 
-    A head without an end goes up to the body, raw text without one to the end of the page.
+    One that is not closed before its parent block is, ends with that block. A head without an end goes up to the body, raw text
+    without one to the end of the page.
     """
     end = html.find(f"</{tag}", at)
     if tag == "head":
@@ -176,6 +187,10 @@ def after_element(html: str, at: int, tag: str) -> int:
         end = body if end < 0 or 0 <= body < end else end
         if end == body and end >= 0:
             return end
+    if tag not in RAW and tag != "head" and parent in BLOCKS:
+        closed = end_of_parent(html, at, len(html) if end < 0 else end, parent)
+        if closed >= 0:
+            return closed
     if end < 0:
         return len(html) if tag in RAW else at
     close = html.find(">", end)

@@ -314,3 +314,14 @@ def test_stray_quotes_end_with_their_tag():
     assert text("<div data-t='it's'>a</div><p>it's b</p>") == ["a", "it's b"]
     assert text("""<p title = "a > b" id='c>d' x=">e</p>""") == ["e"]
     assert text("<p a=b'c>one</p><p>it's</p>") == ["one", "it's"]
+
+
+def test_only_code_and_controls_are_dropped():
+    text = lambda html: [t for t in Page(html).texts if t]
+    html = "<article><p>as <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and <svg><style>p</style><text>axis</text></svg></p>"
+    assert text(html + "<object><p>fallback</p></object><map>map</map></article>") == ["as x=1 and axis", "fallback", "map"]
+    assert text("<p>a<button>b</button>c<select><option>d</select></p><template><p>e</p></template><p>f</p>") == ["ac", "f"]
+    # Elements that are not closed end with the block they are in.
+    assert text("<div><p>a<button>b</p><p>c</p></div><button>d</button><p>e</p>") == ["a", "c", "e"]
+    assert text("<div>a<template>b<div>c</div>d</div><p>e</p><template>f</template>g") == ["a", "e", "g"]
+    assert text("<p>a<button>b<p>c</p>") == ["a", "c"]

@@ -6,7 +6,7 @@ Patterns, each leftmost and non-overlapping, with a least length below which a m
 Candidates are runs of at least ``WINDOW`` letters, digits and ``+/_=-``, unless the allow-list knows their form: plain words, words
 joined by marks, numbers and dates, runs of one character. A window of ``WINDOW`` characters slides over each
 candidate, and the counts of its characters are changed by the one that enters and the one that leaves. Its entropy is held
-against the threshold of the candidate's character class: hex digits, letters and digits, or any. Windows at or above it
+against the threshold of the candidate's character class: hex digits, letters, letters and digits, or any. Windows at or above it
 form spans where they overlap. Spans that touch a match of a pattern are not added.
 
 Sums of counts times logarithms are kept as integers, so that they do not depend on the order of changes.
@@ -53,11 +53,14 @@ CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 # Classes of candidates, the first that fits: pattern, characters, and least entropy in bits of a window.
 CLASSES = (
     ("hex", r"^[0-9a-fA-F]+$", "0123456789abcdefABCDEF", 3.1),
+    ("letters", r"^[A-Za-z]+$", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.8),
     ("alphanumeric", r"^[0-9A-Za-z]+$", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.7),
     ("any", r"", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 3.8),
 )
+# Words: of one case, capitalised, or in camel case with parts of three letters at least after the first, or two before such a part.
+WORDS = r"(?:[A-Z]+|[A-Z]?[a-z]+)(?:[A-Z][a-z]{2,}|[A-Z][a-z](?=[A-Z][a-z]{2}))*+"
 # Forms that are no secrets: words, words joined by marks, numbers and dates, runs of one character.
-ALLOWED = r"^(?:[A-Za-z]+|[+/_=-]*(?:[A-Za-z]+|[0-9]{1,8})(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,8}))*[+/_=-]*|[0-9+/_=-]+|(.)\1*)$"
+ALLOWED = rf"^(?:{WORDS}|[+/_=-]*(?:{WORDS}|[0-9]{{1,8}})(?:[+/_=-]+(?:{WORDS}|[0-9]{{1,8}}))*[+/_=-]*|[0-9+/_=-]+|(.)\1*)$"
 
 
 def pieces(text: Column, pattern: str) -> Column:

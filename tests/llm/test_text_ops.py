@@ -325,3 +325,10 @@ def test_only_code_and_controls_are_dropped():
     assert text("<div><p>a<button>b</p><p>c</p></div><button>d</button><p>e</p>") == ["a", "c", "e"]
     assert text("<div>a<template>b<div>c</div>d</div><p>e</p><template>f</template>g") == ["a", "e", "g"]
     assert text("<p>a<button>b<p>c</p>") == ["a", "c"]
+
+
+def test_letters_of_mixed_case_are_no_words(frame):
+    keys = ["kJhGtRfDeWqAzXsCvBnMpLoIuY", "aBcDe/FgHiJ+kLmNoPqRs==", "xoxb-12345678-abcdEFGHijklMNOP"]
+    names = ["AbstractSingletonProxyFactoryBean", "src/main/java/HTTPServerFactory/getValueOfName", "INTERNATIONALISATION_2024_Words"]
+    found = {r.doc_id: r.entropy for r in secret_scan.secret_spans(frame(list(enumerate(keys + names)))).collect()}
+    assert [bool(found[i]) for i in range(6)] == [True] * 3 + [False] * 3

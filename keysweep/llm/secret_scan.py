@@ -7,7 +7,8 @@ Candidates are runs of at least ``WINDOW`` letters, digits and ``+/_=-``, unless
 joined by marks, numbers and dates, runs of one character. A window of ``WINDOW`` characters slides over each
 candidate, and the counts of its characters are changed by the one that enters and the one that leaves. Its entropy is held
 against the threshold of the candidate's character class: hex digits, letters, letters and digits, or any. Windows at or above it
-form spans where they overlap. Spans that touch a match of a pattern are not added.
+form spans where they overlap. What matches of patterns cover of a span is taken out of it, and
+the parts that are left are kept.
 
 Sums of counts times logarithms are kept as integers, so that they do not depend on the order of changes.
 
@@ -160,6 +161,23 @@ def entropy_spans(found: Column, start: Column, characters: str, entropy: float)
     return F.aggregate(steps, first, step, lambda acc: acc["spans"])
 
 
+def outside(span: Column, known: Column) -> Column:
+    """The parts of a span that no match in ``known``, sorted by start, covers."""
+    part = "array<struct<start:int,end:int>>"
+
+    def cut(acc: Column, k: Column) -> Column:
+        more = F.concat(acc["parts"], F.array(F.struct(acc["at"].alias("start"), k["start"].alias("end"))))
+        parts = F.when(k["start"] > acc["at"], more).otherwise(acc["parts"])
+        return F.struct(F.greatest(acc["at"], k["end"]).alias("at"), parts.alias("parts"))
+
+    def last(acc: Column) -> Column:
+        rest = F.array(F.struct(acc["at"].alias("start"), span["end"].alias("end")))
+        return F.when(acc["at"] < span["end"], F.concat(acc["parts"], rest)).otherwise(acc["parts"])
+
+    met = F.filter(known, lambda k: (k["start"] < span["end"]) & (span["start"] < k["end"]))
+    return F.aggregate(met, F.struct(span["start"].alias("at"), F.array().cast(part).alias("parts")), cut, last)
+
+
 def listed(name: str, spans: Column) -> Column:
     """Spans as structs that sort by start and then by kind."""
     order = [k.name for k in KINDS].index(name) if name != ENTROPY else len(KINDS)
@@ -201,8 +219,8 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return out
 
     found = F.flatten(F.transform(F.col("candidates"), of_class))
-    known = F.concat(*[F.col(k.name) for k in KINDS])
-    alone = F.filter(found, lambda s: ~F.exists(known, lambda k: (k["start"] < s["end"]) & (s["start"] < k["end"])))
+    known = F.array_sort(F.concat(*[F.col(k.name) for k in KINDS]))
+    alone = F.flatten(F.transform(found, lambda s: outside(s, known)))
     return rows.select("doc_id", *[k.name for k in KINDS], alone.alias(ENTROPY))
 
 

@@ -10,6 +10,7 @@ from keysweep.llm.html_extract import html_extract
 from keysweep.llm.language_id import language_id
 from keysweep.llm.line_dedup import line_digest
 from keysweep.llm.lm_score import lm_score
+from keysweep.llm.merkle import merkle_digest
 from keysweep.llm.quality import quality
 from keysweep.llm.secret_scan import secret_digest, secret_spans
 from keysweep.llm.simhash import simhash_components
@@ -67,7 +68,41 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_simhash_near_dedup, op3_lm_score, op4_html_extraction, op5_line_dedup, op6_quality_rules, op7_language_id, op8_bpe_round_trip, op9_secret_scan, op10_benchmark_decontamination)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_simhash_near_dedup,
+        op3_lm_score,
+        op4_html_extraction,
+        op5_line_dedup,
+        op6_quality_rules,
+        op7_language_id,
+        op8_bpe_round_trip,
+        op9_secret_scan,
+        op10_benchmark_decontamination,
+        op12_merkle_manifest,
+    )
+}
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text: its bits are taken in one after the other, the bytes' low bits first."""
+    places = f"flatten(list_transform(string_split({text}, ''), lambda d: [ascii(d)::bigint, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {places}), {step}), 4294967295)"
+
+
+FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def written_sql(field: str) -> str:
+    return f"coalesce(octet_length(encode({field}::varchar))::varchar || ':' || {field}::varchar, '-')"
 
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": r"""
@@ -147,4 +182,52 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(items, '')) as items_sha256, n_hit is not null as contaminated
         from texts t left join hit h on t.doc_id = h.doc_id left join listed l on t.doc_id = l.doc_id
     """,
+    "op12_merkle_manifest": f"""
+        with recursive leaves as (
+            select doc_id, source, row_number() over (partition by source order by doc_id) - 1 as i,
+                   sha256(concat({', '.join(map(written_sql, FIELDS))})) as leaf,
+                   sha256(concat({', '.join(map(written_sql, FIELDS[:-1]))}, {written_sql(LOWERED)})) as changed,
+                   {crc32_sql("doc_id::varchar")} % 5 = 0 as chosen
+            from documents
+        ), up as (
+            select source, 0 as lv, i, leaf as h, count(*) over (partition by source) as n from leaves
+            union all
+            select source, lv, i, h, count(*) over (partition by source) as n
+            from (select source, lv + 1 as lv, i // 16 as i, sha256(string_agg(h, '' order by i)) as h from up where n > 1 group by source, lv, i // 16)
+        ), beside as (
+            select a.source, a.lv, a.i, coalesce(string_agg(b.h, '' order by b.i) filter (where b.i < a.i), '') as before,
+                   coalesce(string_agg(b.h, '' order by b.i) filter (where b.i > a.i), '') as after
+            from up a join up b on a.source is not distinct from b.source and a.lv = b.lv and a.i // 16 = b.i // 16
+            where a.n > 1 group by a.source, a.lv, a.i
+        ), climb as (
+            select doc_id, source, 0 as lv, i, case when chosen then changed else leaf end as h, '' as proof from leaves
+            union all
+            select c.doc_id, c.source, c.lv + 1, c.i // 16, sha256(before || h || after), proof || before || after
+            from climb c join beside b on c.source is not distinct from b.source and c.lv = b.lv and c.i = b.i
+        ), climbed as (
+            select doc_id, source, arg_max(h, lv) as h, arg_max(proof, lv) as proof from climb group by doc_id, source
+        ), subroots as (
+            select source, h as subroot, row_number() over (order by source nulls first) - 1 as i from up where n = 1
+        ), top as (
+            select 0 as lv, i, subroot as h, count(*) over () as n from subroots
+            union all
+            select lv, i, h, count(*) over () as n
+            from (select lv + 1 as lv, i // 16 as i, sha256(string_agg(h, '' order by i)) as h from top where n > 1 group by lv, i // 16)
+        ), beside_top as (
+            select a.lv, a.i, coalesce(string_agg(b.h, '' order by b.i) filter (where b.i < a.i), '') as before,
+                   coalesce(string_agg(b.h, '' order by b.i) filter (where b.i > a.i), '') as after
+            from top a join top b on a.lv = b.lv and a.i // 16 = b.i // 16 where a.n > 1 group by a.lv, a.i
+        ), climb_top as (
+            select doc_id, 0 as lv, s.i, h, proof from climbed c join subroots s on c.source is not distinct from s.source
+            union all
+            select c.doc_id, c.lv + 1, c.i // 16, sha256(before || h || after), proof || before || after
+            from climb_top c join beside_top b on c.lv = b.lv and c.i = b.i
+        ), ends as (
+            select doc_id, arg_max(h, lv) as folded_root, arg_max(proof, lv) as proof from climb_top group by doc_id
+        ), root as (
+            select h as root from top where n = 1
+        )
+        select l.doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, folded_root, folded_root = root as verified
+        from leaves l join subroots s on l.source is not distinct from s.source join ends e on l.doc_id = e.doc_id cross join root
+    """,
 }

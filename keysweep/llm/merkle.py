@@ -19,10 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.functions.columns import column
+from keysweep.llm.ranks import placed, with_ranks
 from keysweep.llm.staging import Stage
 
 RUN = 16
@@ -56,28 +57,9 @@ def levels(total: Column) -> Column:
 
 
 def ranked(stage: Stage, nodes: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """``nodes`` with their rank from 0 in their ``grp``, by ``order``, and the levels above them.
-
-    Rows are dealt by ranges, so a row's place is its task's and its own number there. A group's places in a task follow each
-    other, and there are no more counts of groups in tasks than groups and tasks.
-    """
-    keys = [F.col("grp"), *map(column, order)]
-    placed = stage(
-        nodes.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id()),
-        f"{name}-placed",
-    ).withColumn("task", F.shiftright("place", 33))
-    runs = placed.groupBy("grp", "task").agg(F.min("place").alias("first"), F.count("*").alias("rows"))
-    earlier = Window.partitionBy("grp").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
-        F.col("grp").alias("run_grp"),
-        F.col("task").alias("run_task"),
-        (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
-        F.sum("rows").over(Window.partitionBy("grp")).alias("total"),
-    )
-    met = placed.join(runs, F.col("grp").eqNullSafe(F.col("run_grp")) & (F.col("task") == F.col("run_task")))
-    return met.select(
-        "grp", (F.col("place") + F.col("shift")).alias("rank"), levels(F.col("total")).alias("left"), "hash", "item"
-    )
+    """``nodes`` with their rank from 0 in their ``grp``, by ``order``, and the levels above them."""
+    rows = with_ranks(placed(stage, nodes, ["grp", *order], name), "grp")
+    return rows.select("grp", "rank", levels(F.col("total")).alias("left"), "hash", "item")
 
 
 def blocks_of(nodes: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from keysweep.llm.bpe import bpe, bpe_digest
+from keysweep.llm.conversation import repair_digest
 from keysweep.llm.decontaminate import contamination, contamination_digest
 from keysweep.llm.html_extract import html_extract
 from keysweep.llm.language_id import language_id
+from keysweep.llm.license_scan import license_digest, license_scan
 from keysweep.llm.line_dedup import line_digest
 from keysweep.llm.lm_score import lm_score
 from keysweep.llm.merkle import merkle_digest
@@ -68,10 +70,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contamination_digest(contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest(license_scan(table(spark, sf_dir, "documents")))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,7 +95,9 @@ QUERIES = {
         op8_bpe_round_trip,
         op9_secret_scan,
         op10_benchmark_decontamination,
+        op11_license_scan,
         op12_merkle_manifest,
+        op13_conversation_repair,
     )
 }
 
@@ -97,6 +109,33 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_concat([4294967295::bigint], {places}), {step}), 4294967295)"
 
 
+def added_sql(path: str, letter: str, cost: str) -> str:
+    return f"{{'c': {path}.c + {cost}, 'a': {path}.a || '{letter}'}}"
+
+
+def least_sql(*paths: str) -> str:
+    return f"list_min([{', '.join(paths)}])"
+
+
+def either_sql(condition: str, path: str) -> str:
+    return f"case when {condition} then {path} else {{'c': 1000000, 'a': ''}} end"
+
+
+def inserted_sql() -> str:
+    """The least paths to the states e (nothing), s (system), u and a (ends in user, assistant) when rows may be inserted."""
+    u = least_sql("u", *(added_sql(q, "I", "3") for q in "esa"))
+    return f"e, s, {u} as u, {least_sql('a', added_sql(u, 'I', '3'))} as a"
+
+
+def taken_sql() -> str:
+    """The least paths after one more row, with its initial, whether it must go, and what it costs if it stays."""
+    drop = {q: added_sql(q, "D", "4") for q in "esua"}
+    keep = lambda q, initial: either_sql(f"not forced and initial = '{initial}'", added_sql(q, "K", "extra"))
+    other = lambda q: either_sql("not forced", added_sql(q, "R", "3 + extra"))
+    u = least_sql(drop["u"], *(f(q) for q in "esa" for f in (lambda q: keep(q, "u"), other)))
+    return f"{drop['e']} as e, {least_sql(drop['s'], keep('e', 's'))} as s, {u} as u, {least_sql(drop['a'], keep('u', 'a'), other('u'))} as a"
+
+
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -230,4 +269,65 @@ ORACLES: dict[str, str] = {
         select l.doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, folded_root, folded_root = root as verified
         from leaves l join subroots s on l.source is not distinct from s.source join ends e on l.doc_id = e.doc_id cross join root
     """,
+    "op13_conversation_repair": rf"""
+        with recursive kinds as (
+            select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                   {crc32_sql("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 as kind
+            from conversations
+        ), rows as (
+            select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+                   case when kind = 1 then '' when kind = 2 then translate(text, '.!?', '') else text end as text,
+                   unnest(range(case when kind = 3 then 2 else 1 end)) as copy
+            from kinds where kind <> 0
+        ), placed as (
+            select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+                   rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as trimmed from rows
+        ), judged as (
+            select *, trimmed = '' as blank, trimmed <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as duplicate,
+                   right(trimmed, 1) not in ('.', '!', '?') as open, left(role, 1) as initial,
+                   lag(left(role, 1)) over (partition by conv_id order by i) as before
+            from placed
+        ), coded as (
+            select conv_id, i, role, text, initial, blank or duplicate as forced, case when open then 3 else 0 end as extra from judged
+        ), steps as (
+            select conv_id, 0 as i, {{'c': 0, 'a': ''}} as e, {{'c': 1000000, 'a': ''}} as s, {{'c': 1000000, 'a': ''}} as u, {{'c': 1000000, 'a': ''}} as a
+            from (select distinct conv_id from rows)
+            union all
+            select conv_id, i, {taken_sql()}
+            from (select p.conv_id, n.i, n.initial, n.forced, n.extra, {inserted_sql()}
+                  from steps p join coded n on p.conv_id is not distinct from n.conv_id and n.i = p.i + 1)
+        ), ends as (
+            select conv_id, {least_sql("e", "a")} as best
+            from (select conv_id, i, {inserted_sql()} from steps) x
+            where i = (select max(i) from coded c where c.conv_id is not distinct from x.conv_id)
+        ), audits as (
+            select conv_id, best.c as cost, best.a as audit from ends
+        ), letters as (
+            select conv_id, k, audit[k] as letter, len(replace(audit[1 : k], 'I', '')) as i
+            from (select conv_id, audit, unnest(range(1, len(audit) + 1)) as k from audits)
+        ), written as (
+            select l.conv_id, k, letter, r.role, r.text, r.initial from letters l
+            left join coded r on l.conv_id is not distinct from r.conv_id and l.i = r.i and l.letter <> 'I' where l.letter <> 'D'
+        ), numbered as (
+            select *, row_number() over (partition by conv_id order by k)
+                      - max(case when letter = 'K' and initial = 's' then 1 else 0 end) over (partition by conv_id) as n from written
+        ), repaired as (
+            select conv_id, string_agg(case when letter = 'K' then role when n % 2 = 1 then 'user' else 'assistant' end || ':' || coalesce(text, ''),
+                                       chr(10) order by k) as t
+            from numbered group by conv_id
+        ), counts as (
+            select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+                   count(*) filter (where blank) as blank, count(*) filter (where duplicate) as duplicate,
+                   count(*) filter (where open and not blank and not duplicate) as truncated,
+                   count(*) filter (where before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+            from judged group by conv_id
+        )
+        select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+               coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost,
+               coalesce(audit, '') as audit, sha256(coalesce(t, '')) as repaired_sha256
+        from (select distinct conv_id from conversations) o
+        left join counts c on o.conv_id is not distinct from c.conv_id
+        left join audits a on o.conv_id is not distinct from a.conv_id
+        left join repaired r on o.conv_id is not distinct from r.conv_id
+    """,
 }

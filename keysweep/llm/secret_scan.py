@@ -10,9 +10,11 @@ against the threshold of the candidate's character class: hex digits, letters, l
 form spans where they overlap. What matches of patterns cover of a span is taken out of it, and
 the parts that are left are kept.
 
-Sums of counts times logarithms are kept as integers, so that they do not depend on the order of changes.
+Sums of counts times logarithms are kept as integers, so that they do not depend on the order of changes. The windows of a candidate
+are taken ``SEGMENT`` at a time, so that the work grows with its length and no faster.
 
-Cases: a NULL text counts as empty, and has no matches; rows that repeat an identifier are scanned one by one; an empty table
+Cases: a NULL text counts as empty, and has no matches; texts, matches and candidates may have any length that a string
+has, and patterns do not recurse with it; rows that repeat an identifier are scanned one by one; an empty table
 gives an empty result; other columns are not read. Everything about a text stays in its row: no shuffle, no Python.
 """
 
@@ -29,8 +31,9 @@ from keysweep.functions.columns import column
 WINDOW = 20
 # Integers that stand for one bit of the sum of counts times their logarithms.
 SCALE = 1 << 32
-# Numbers of running totals that are added up at a time.
+# Numbers of running totals that are added up at a time, and windows whose counts are carried on.
 BLOCK = 256
+SEGMENT = 256
 
 
 @dataclass(frozen=True)
@@ -60,8 +63,11 @@ CLASSES = (
 )
 # Words: of one case, capitalised, or in camel case with parts of three letters at least after the first, or two before such a part.
 WORDS = r"(?:[A-Z]+|[A-Z]?[a-z]+)(?:[A-Z][a-z]{2,}|[A-Z][a-z](?=[A-Z][a-z]{2}))*+"
+# A word or number between marks; it must end at a mark, so that no other way to read it is ever tried. Repetitions of it
+# are possessive, which Java's patterns run in a loop, not by recursion.
+PART = rf"(?:{WORDS}|[0-9]{{1,8}})(?=[+/_=-]|$)"
 # Forms that are no secrets: words, words joined by marks, numbers and dates, runs of one character.
-ALLOWED = rf"^(?:{WORDS}|[+/_=-]*(?:{WORDS}|[0-9]{{1,8}})(?:[+/_=-]+(?:{WORDS}|[0-9]{{1,8}}))*[+/_=-]*|[0-9+/_=-]+|(.)\1*)$"
+ALLOWED = rf"^(?:{WORDS}|[+/_=-]*{PART}(?:[+/_=-]+{PART})*+[+/_=-]*|[0-9+/_=-]+|(.)\1*+)$"
 
 
 def pieces(text: Column, pattern: str) -> Column:
@@ -114,51 +120,62 @@ def highest_sum(entropy: float) -> int:
     return floor(WINDOW * (log2(WINDOW) - entropy) * SCALE)
 
 
-def entropy_spans(found: Column, start: Column, characters: str, entropy: float) -> Column:
-    """Spans of overlapping windows of at least ``entropy`` bits, by counts that change by two characters at a time."""
-    places = F.split(found, "")
+# A character that does not count, in the numbers of characters that enter and leave windows.
+NONE = 1000
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of an array that is made once, however often ``use`` looks at it."""
+    return F.flatten(F.transform(F.array(value), use))
+
+
+def good_windows(places: Column, block: Column, characters: str, entropy: float) -> Column:
+    """Starts of the windows of one segment that have at least ``entropy`` bits, by counts that change by a character at a time."""
     logs = F.array(*[F.lit(scaled(c)).cast("bigint") for c in range(WINDOW + 2)])
-    span = "array<struct<start:int,end:int>>"
+    low = block * SEGMENT
+    own = F.slice(places, low + 1, SEGMENT + WINDOW - 1)
+    # Each character takes three steps: the one before the window leaves, it enters, and the sum is looked at.
+    left = lambda i: F.when(i >= WINDOW, -F.get(places, low + i - WINDOW)).otherwise(NONE)
+    steps = F.flatten(F.transform(own, lambda place, i: F.array(left(i), place, F.lit(0))))
     first = F.struct(
-        F.array_repeat(F.lit(0), len(characters) + 1).alias("counts"), F.lit(0).cast("bigint").alias("sum"), F.array().cast(span).alias("spans")
+        F.array_repeat(F.lit(0), len(characters)).alias("counts"),
+        F.lit(0).cast("bigint").alias("sum"),
+        F.lit(0).alias("taken"),
+        F.array().cast("array<int>").alias("good"),
     )
 
-    def place(i: Column) -> Column:
-        return F.instr(F.lit(characters), F.element_at(places, i))
-
-    def change(acc: Column, at: Column, by: int) -> tuple[Column, Column]:
-        was = F.element_at(acc["counts"], at)
-        total = acc["sum"] - F.element_at(logs, was + 1) + F.element_at(logs, was + by + 1)
-        return F.transform(acc["counts"], lambda c, k: F.when(k + 1 == at, c + by).otherwise(c)), total
-
-    def entered(acc: Column, i: Column) -> Column:
-        counts, total = change(acc, place(i), 1)
-        return F.struct(counts.alias("counts"), total.alias("sum"), acc["spans"].alias("spans"))
-
-    def left(acc: Column, i: Column) -> Column:
-        counts, total = change(acc, place(i - WINDOW), -1)
-        gone = F.struct(counts.alias("counts"), total.alias("sum"), acc["spans"].alias("spans"))
-        return F.when(i > WINDOW, gone).otherwise(acc)
-
-    def noted(acc: Column, i: Column) -> Column:
-        low, high = (start + i - WINDOW).cast("int"), (start + i).cast("int")
-        size = F.size(acc["spans"])
-        last = F.get(acc["spans"], size - 1)
-        grown = F.concat(F.slice(acc["spans"], 1, size - 1), F.array(F.struct(last["start"].alias("start"), high.alias("end"))))
-        more = F.concat(acc["spans"], F.array(F.struct(low.alias("start"), high.alias("end"))))
-        spans = F.when((size > 0) & (last["end"] >= low), grown).otherwise(more)
-        good = (i >= WINDOW) & (acc["sum"] <= highest_sum(entropy))
-        return F.struct(acc["counts"].alias("counts"), acc["sum"].alias("sum"), F.when(good, spans).otherwise(acc["spans"]).alias("spans"))
-
-    # Each character takes three steps: it enters, the one before the window leaves, and the sum is looked at.
-    steps = F.sequence(F.lit(0), 3 * F.char_length(found) - 1)
-
-    def step(acc: Column, s: Column) -> Column:
-        i = (s / 3).cast("int") + 1
-        kind = s % 3
-        return F.when(kind == 0, left(acc, i)).when(kind == 1, entered(acc, i)).otherwise(noted(acc, i))
-
-    return F.aggregate(steps, first, step, lambda acc: acc["spans"])
+    def changed(acc: Column, place: Column, by: int) -> Column:
+        was = F.get(acc["counts"], place - 1)
+        counts = F.transform(acc["counts"], lambda c, k: F.when(k == place - 1, c + by).otherwise(c))
+        total = acc["sum"] - F.get(logs, was) + F.get(logs, was + by)
+        return F.struct(counts.alias("counts"), total.alias("sum"), acc["taken"].alias("taken"), acc["good"].alias("good"))
+
+    def noted(acc: Column) -> Column:
+        start = (low + acc["taken"] + 1 - WINDOW).cast("int")
+        good = (acc["taken"] + 1 >= WINDOW) & (acc["sum"] <= highest_sum(entropy))
+        starts = F.when(good, F.concat(acc["good"], F.array(start))).otherwise(acc["good"])
+        return F.struct(acc["counts"].alias("counts"), acc["sum"].alias("sum"), (acc["taken"] + 1).alias("taken"), starts.alias("good"))
+
+    def step(acc: Column, place: Column) -> Column:
+        return F.when(place == 0, noted(acc)).when(place == NONE, acc).when(place > 0, changed(acc, place, 1)).otherwise(changed(acc, -place, -1))
+
+    return F.aggregate(steps, first, step, lambda acc: acc["good"])
+
+
+def entropy_spans(found: Column, start: Column, characters: str, entropy: float) -> Column:
+    """Spans of overlapping windows of at least ``entropy`` bits."""
+
+    def of_places(places: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(places) - WINDOW) / SEGMENT).cast("int"))
+        return bound(F.flatten(F.transform(blocks, lambda b: good_windows(places, b, characters, entropy))), of_starts)
+
+    def of_starts(good: Column) -> Column:
+        lows = F.filter(good, lambda x, i: (i == 0) | (x > F.get(good, i - 1) + WINDOW))
+        highs = F.filter(good, lambda x, i: (i == F.size(good) - 1) | (F.get(good, i + 1) > x + WINDOW))
+        span = lambda a, b: F.struct((start + a).cast("int").alias("start"), (start + b + WINDOW).cast("int").alias("end"))
+        return F.zip_with(lows, highs, span)
+
+    return bound(F.transform(F.split(found, ""), lambda c: F.instr(F.lit(characters), c)), of_places)
 
 
 def outside(span: Column, known: Column) -> Column:

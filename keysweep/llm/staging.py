@@ -71,8 +71,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_digest(text: str) -> Column:
-    """Short digest that tells texts of one identifier apart; NULL counts as empty."""
-    return F.crc32(F.coalesce(column(text), F.lit(""))).cast("bigint")
+    """Digest of 64 bits that tells texts of one identifier apart; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(column(text), F.lit("")))
 
 
 def bounded_sample(df: DataFrame, rows: int, *key: Column) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import brute
 import numpy as np
 import pytest
@@ -38,6 +40,24 @@ def test_substring_of_odd_rows(frame):
     assert sd.substring_dedup(frame([])).count() == 0
 
 
+def equal_crc(n, mark):
+    """``n`` different words that begin with ``mark``, so written that texts of either mark have one CRC-32."""
+    bits = ("plumless", "buckeroo")
+    return [mark + "".join(bits[k >> b & 1] for b in range(5)) for k in range(n)]
+
+
+def test_texts_of_one_identifier_and_crc_are_told_apart(frame):
+    one, other = (" ".join(equal_crc(26, mark)) for mark in ("plumless", "buckeroo"))
+    assert one != other and zlib.crc32(one.encode()) == zlib.crc32(other.encode())
+    for i in (5, None):
+        rows = [(0, one), (i, one), (i, other)] if i else [(None, other), (None, one), (1, one)]
+        key = lambda r: -1 if r.doc_id is None else r.doc_id
+        found = sorted((key(r), r.n_removed) for r in sd.substring_dedup(frame(rows)).collect())
+        assert found == ([(0, 0), (5, 0), (5, 26)] if i else [(-1, 0), (-1, 0), (1, 26)])
+        lines = sorted((key(r), r.text) for r in ld.line_dedup(frame(rows)).collect())
+        assert lines == (sorted([(0, one), (5, ""), (5, other)]) if i else sorted([(-1, one), (-1, other), (1, "")]))
+
+
 def test_leftmost_least():
     rng = np.random.default_rng(0)
     for width in (1, 2, 3, 5, 8, 13, 15):

@@ -11,6 +11,7 @@ SINGLE = TableSpec("single", ("id",), ordering="last_modified")
 PAIR = TableSpec(
     "pair", ("transaction_id", "transaction_line_id"), ordering="date_last_modified_gmt"
 )
+TEXT = TableSpec("text", ("code", "line", "day"), ordering="o")
 FIVE = TableSpec("five", ("k1", "k2", "k3", "k4", "k5"), ordering="date_last_modified")
 
 
@@ -65,6 +66,15 @@ def src_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).distinct()
 
 
+def src_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of text, decimals and dates, of which half share their first part; some parts are NULL."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "case when o_orderkey % 2 = 0 then 'it''s' when o_orderkey % 53 = 0 then null else o_orderpriority || o_orderkey % 7 end as code",
+        "cast(o_orderkey / 4 as decimal(18, 2)) as line",
+        "cast(o_orderdate as date) as day",
+    )
+
+
 def src_pair_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src_pair(spark, sf_dir).filter("transaction_id % 11 <> 0")
 

@@ -28,6 +28,11 @@ VIEWS = {
     "src_pair": """
         select distinct l_orderkey as transaction_id, l_linenumber as transaction_line_id
         from lineitem where (l_orderkey * 7 + l_linenumber) % 13 <> 5""",
+    "src_text": """
+        select case when o_orderkey % 2 = 0 then 'it''s' when o_orderkey % 53 = 0 then null
+                    else o_orderpriority || (o_orderkey % 7) end as code,
+               o_orderkey / 4.0 as line, cast(o_orderdate as date) as day
+        from orders""",
     "src_pair_short": "select * from src_pair where transaction_id % 11 <> 0",
     "tgt_five": """
         select l_orderkey as k1, l_linenumber as k2, l_partkey as k3, nullif(l_suppkey % 10, 0) as k4,
@@ -120,7 +125,16 @@ ORACLES: dict[str, str] = {
             select cast({_SPREAD} as integer) as part, count(*) as n from src_pair group by 1""",
         "source_key_bounds": """
             select min(transaction_id) as lo, max(transaction_id) as hi, count(*) as n from src_pair""",
+        "source_key_quantiles": """
+            select tile as part, count(*) as n
+            from (select ntile(10) over (order by transaction_id, transaction_line_id) as tile from src_pair)
+            group by tile""",
+        "source_text_quantiles": """
+            select case when code is null then 0 else tile end as part, count(*) as n
+            from (select code, ntile(10) over (partition by code is null order by code, line, day) as tile from src_text)
+            group by 1""",
         "csv_snapshot_scan": "select conv_id, turn, role, text from conversations",
+        "csv_snapshot_split": "select conv_id, turn, role, text from conversations",
         "target_active_scan": "select * from tgt_single where is_deleted <> '1'",
         "table_config": """
             , entries as (
@@ -154,6 +168,7 @@ ORACLES: dict[str, str] = {
                    case when s.id is null then '1' else t.is_deleted end as is_deleted_new
             from tgt_single t left join src_single s on s.id = t.id where t.is_deleted <> '1'""",
         "missing_in_source_single": _missing("single", f"* {_META}"),
+        "missing_in_source_bitmap": f"select distinct id from tgt_single t where {_gone('single')}",
         "missing_in_source_pair": _missing("pair"),
         "missing_in_source_pair_wide": _missing("pair"),
         "missing_in_source_pair_by_key": _missing("pair"),

@@ -14,6 +14,7 @@ from keysweep.functions import naming
 from keysweep.functions.columns import is_active
 from keysweep.operators import validate
 from keysweep.operators.counts import SOURCE_EXCEEDS_TARGET, gate_is_open
+from keysweep.operators.missing import BITMAP
 from keysweep.sources import config, jdbc
 from keysweep.sources.target import write_csv_snapshot
 from keysweep.storage import BROADCAST_LIMIT, work_folder
@@ -63,6 +64,22 @@ def source_key_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT * FROM " + jdbc.bounds_query("keysweep_source", "transaction_id", "`"))
 
 
+def quantile_parts(source: Query, spec: ks.TableSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many keys each part of a source read split by quantiles has: part 0 is that of keys with a NULL, the others are even."""
+    view = f"keysweep_quantiles_{spec.name}"
+    source(spark, sf_dir).createOrReplaceTempView(view)
+    tiles = spark.sql("SELECT * FROM " + jdbc.quantile_query(view, spec.keys, jdbc.PARTITIONS, "`"))
+    bounds = [row[:-1] for row in sorted(tiles.collect(), key=lambda row: row[-1])]
+    predicates = jdbc.quantile_predicates(spec.keys, bounds, "`")
+    parts = F.posexplode(F.array(*map(F.expr, predicates))).alias("part", "taken")
+    return spark.table(view).select(parts).filter("taken").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+source_key_quantiles = partial(quantile_parts, fx.src_pair, fx.PAIR)
+# Text, a hot first key, and NULLs.
+source_text_quantiles = partial(quantile_parts, fx.src_text, fx.TEXT)
+
+
 def csv_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     path = work_folder(spark, "csv") + "/snapshot"
@@ -70,6 +87,14 @@ def csv_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ks.read_csv_snapshot(spark, path, rows.schema)
 
 
+def csv_snapshot_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as one file, which the splittable reader gives to as many tasks as its size asks for."""
+    rows = fx.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    path = work_folder(spark, "csv") + "/snapshot"
+    write_csv_snapshot(rows.coalesce(1), path)
+    return ks.read_csv_snapshot(spark, path, rows.schema, split=True)
+
+
 def target_active_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = published(spark, fx.tgt_single(spark, sf_dir), "active")
     return ks.read_target_active(spark, path)
@@ -170,6 +195,12 @@ def update_set_wide(
     return ks.flag_deleted(ks.missing_in_source(rows, keys, spec.keys))
 
 
+def missing_in_source_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys to flag, compared as bitmaps."""
+    rows = active(fx.tgt_single(spark, sf_dir))
+    return ks.missing_keys(rows, fx.src_single(spark, sf_dir), fx.SINGLE.keys, way=BITMAP)
+
+
 missing_in_source_single = partial(update_set, fx.SINGLE, fx.tgt_single, fx.src_single)
 # The pair target is a result of its own, the others are projections of stored tables.
 missing_in_source_pair = partial(
@@ -354,7 +385,10 @@ QUERIES: dict[str, Query] = {
     "project_source_keys": project_source_keys,
     "source_key_parts": source_key_parts,
     "source_key_bounds": source_key_bounds,
+    "source_key_quantiles": source_key_quantiles,
+    "source_text_quantiles": source_text_quantiles,
     "csv_snapshot_scan": csv_snapshot_scan,
+    "csv_snapshot_split": csv_snapshot_split,
     "target_active_scan": target_active_scan,
     "table_config": table_config,
     "flag_three_valued": flag_three_valued,
@@ -364,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "null_fill_missing": null_fill_missing,
     "left_join_flagged": left_join_flagged,
     "missing_in_source_single": missing_in_source_single,
+    "missing_in_source_bitmap": missing_in_source_bitmap,
     "missing_in_source_pair": missing_in_source_pair,
     "missing_in_source_pair_wide": missing_in_source_pair_wide,
     "missing_in_source_pair_by_key": missing_in_source_pair_by_key,

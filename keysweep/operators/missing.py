@@ -20,15 +20,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keysweep.functions.columns import any_null, column, is_active, none_null, quoted
+from keysweep.operators.bitmaps import can_be_bits, key_density, missing_integers
 from keysweep.operators.joins import distinct_keys, key_join
 from keysweep.spec import DELETED, FLAG_COLUMN
-from keysweep.storage import BROADCAST_LIMIT, Sized, row_bytes, stage, stage_sized
+from keysweep.storage import BROADCAST_LIMIT, Sized, row_bytes, stage, stage_observed, stage_sized
 
 # Keys are counted in this many buckets. A table is even if its fullest bucket, and so any key, holds few
 # enough rows for one task, however large the table is.
 BUCKETS = 1 << 16
 EVEN_ROWS = 1_000_000
 
+# Ways to compare the keys of both sides: the source is broadcast; integers become bits; a join; an aggregate.
+BROADCAST, BITMAP, JOIN, AGGREGATE = "broadcast", "bitmap", "join", "aggregate"
+
 _IN_SOURCE = "__in_source"
 _MATCHED = "__matched"
 
@@ -93,25 +97,58 @@ def key_spread(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> S
     return Spread(*[figure or 0 for figure in figures])
 
 
+@dataclass(frozen=True)
+class Measured:
+    """The rows of a table, the size of its keys as a broadcast table, and the ways to compare keys that suit them."""
+
+    rows: int
+    broadcast_bytes: int
+    dense: bool
+    even: bool
+
+
+def measured(df: DataFrame, keys: Sequence[str], null_safe: bool = False) -> Measured:
+    """Whether the keys of ``df`` are integers that lie close together in each task, or else spread evenly, in a scan for each."""
+    if can_be_bits(df.schema, keys) and not null_safe:
+        density = key_density(df, keys[0])
+        if density.dense:
+            return Measured(density.rows, density.broadcast_bytes, True, False)
+    spread = key_spread(df, keys, null_safe)
+    return Measured(spread.rows, spread.broadcast_bytes, False, spread.even)
+
+
+def way_of(target: Measured, source: Measured) -> str:
+    """How to compare the keys of a source that is too large for a broadcast."""
+    if target.dense and source.dense:
+        return BITMAP
+    return JOIN if target.even and source.even else AGGREGATE
+
+
 def missing_keys(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
     even: bool = False,
+    way: str | None = None,
 ) -> DataFrame:
     """Distinct keys of ``target`` that are not in ``source``.
 
     With ``=`` keys, those with a NULL part are left out: all of them are missing, see ``any_null``.
     The comparison is an aggregate, so copies of one key shrink to one row per task before the shuffle, on
     both sides. If ``key_spread`` has shown both sides to be ``even``, there is nothing to shrink, and an
-    anti join of the keys takes less work.
+    anti join of the keys takes less work. ``way`` names these and the other ways, see ``way_of``.
     """
+    way = way or (JOIN if even else AGGREGATE)
     columns = [column(k) for k in keys]
     theirs, ours = source.select(*columns), target.select(*columns)
     if not null_safe:
         theirs, ours = theirs.filter(none_null(keys)), ours.filter(none_null(keys))
-    if even:
+    if way == BITMAP:
+        return missing_integers(ours, theirs, keys[0])
+    if way == BROADCAST:
+        return key_join(ours, theirs.hint("broadcast"), keys, "left_anti", null_safe).distinct()
+    if way == JOIN:
         return key_join(ours, theirs, keys, "left_anti", null_safe).distinct()
     both = ours.withColumn(_IN_SOURCE, F.lit(False)).unionByName(
         theirs.withColumn(_IN_SOURCE, F.lit(True))
@@ -120,6 +157,14 @@ def missing_keys(
     return found.filter(~F.col(_IN_SOURCE)).select(*columns)
 
 
+def stage_keys(source: DataFrame, keys: Sequence[str], path: str) -> tuple[DataFrame, Measured]:
+    """The keys of ``source``, written once, with their number and size, which the write has counted."""
+    rows = source.select(*map(column, keys))
+    bytes_ = F.sum(row_bytes(rows, keys))
+    staged, seen = stage_observed(rows, path, rows=F.count(F.lit(1)), bytes=bytes_)
+    return staged, Measured(seen["rows"] or 0, seen["bytes"] or 0, False, False)
+
+
 def _marked(df: DataFrame, gone: Sized, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """``df`` with a mark on the rows whose key is in ``gone``."""
     marks = gone.hinted.withColumn(_MATCHED, F.lit(True))
@@ -155,19 +200,21 @@ def find_missing(
 ) -> DataFrame:
     """The rows of ``missing_in_source``, in the way that suits the sizes of both sides.
 
-    Source keys that fit are broadcast, and the target is read once. Else the missing keys are found and
-    staged in ``folder`` before their rows are read; a target that is not a stored table is staged first.
-    Both is measured, unless ``even`` says that the keys are to be compared, and how.
+    The source keys are staged in ``folder``, so that the source is read once, and counted on the way. If
+    they fit they are broadcast, and the target is read once. Else the missing keys are found and
+    staged before their rows are read; a target that is not a stored table is staged first.
+    All this is measured, unless ``even`` says that the keys are to be compared, and how.
     """
+    way = None
     if even is None:
-        source_spread = key_spread(source, keys, null_safe)
-        if source_spread.broadcast_bytes <= broadcast_limit:
+        source, seen = stage_keys(source, keys, f"{folder}/source_keys")
+        if seen.broadcast_bytes <= broadcast_limit:
             return _missing_in_small(target, source, keys, null_safe)
     if not target_is_stored:
         target = stage(target, f"{folder}/target")
     if even is None:
-        even = source_spread.even and key_spread(target, keys, null_safe).even
-    gone = missing_keys(target, source, keys, null_safe, even)
+        way = way_of(measured(target, keys, null_safe), measured(source, keys, null_safe))
+    gone = missing_keys(target, source, keys, null_safe, bool(even), way)
     staged = stage_sized(gone, f"{folder}/missing_keys", broadcast_limit)
     return rows_with_keys(target, staged, keys, null_safe)
 

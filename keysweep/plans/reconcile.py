@@ -15,11 +15,14 @@ from keysweep.functions.columns import align_keys, column, drop_meta, in_values,
 from keysweep.functions.naming import utc_now
 from keysweep.operators.counts import ALWAYS, GATES, check_delete_fraction, gate_is_open
 from keysweep.operators.missing import (
+    BROADCAST,
     flag_deleted,
     flag_rows,
-    key_spread,
+    measured,
     missing_keys,
     rows_with_keys,
+    stage_keys,
+    way_of,
 )
 from keysweep.operators.validate import check_columns, check_required, check_schema, check_written
 from keysweep.sinks.audit import (
@@ -33,7 +36,7 @@ from keysweep.sinks.audit import (
 from keysweep.sinks.publish import overwrite_partitions
 from keysweep.sources.target import read_target, require_table
 from keysweep.spec import TableSpec
-from keysweep.storage import BROADCAST_LIMIT, Sized, stage, stage_sized, work_folder
+from keysweep.storage import BROADCAST_LIMIT, Sized, stage_sized, work_folder
 
 log = logging.getLogger(__name__)
 
@@ -117,25 +120,31 @@ def reconcile(
         stored = read_target(spark, path, partition_col=spec.partition_col)
         check_required(stored, [*spec.keys, spec.flag_col, spec.partition_col, spec.ordering])
         active = stored.filter(is_active(spec.flag_col, options.null_flag_is_active))
-        target_spread = key_spread(active, spec.keys, options.null_safe_keys)
-        counts[1] = target_spread.rows
+        ours = measured(active, spec.keys, options.null_safe_keys)
+        counts[1] = ours.rows
         rows = source(counts[1]) if callable(source) else source
         source_keys = align_keys(rows, stored.schema, spec.keys)
         if options.snapshot_source:
-            source_keys = stage(source_keys, f"{folder}/source_keys")
-        source_spread = key_spread(source_keys, spec.keys, options.null_safe_keys)
-        counts[0] = source_spread.rows
+            # The write counts the keys; only those that are too large for a broadcast are looked at again.
+            source_keys, theirs = stage_keys(source_keys, spec.keys, f"{folder}/source_keys")
+        else:
+            theirs = measured(source_keys, spec.keys, options.null_safe_keys)
+        counts[0] = theirs.rows
 
         update = None
         if gate_is_open(counts[0] - counts[1], options.gate):
-            even = target_spread.even and source_spread.even
-            update = _find_update_set(active, source_keys, even, spec, options, folder)
+            way = BROADCAST
+            if theirs.broadcast_bytes > options.broadcast_limit:
+                way = way_of(ours, measured(source_keys, spec.keys, options.null_safe_keys) if options.snapshot_source else theirs)
+            update = _find_update_set(active, source_keys, way, spec, options, folder)
             if options.gate == ALWAYS and not options.dry_run:
                 check_delete_fraction(update.size, counts[1], options.max_delete_fraction)
-            bare = drop_meta(stored, spec.meta_prefix)
-            update_rows = flag_deleted(bare, spec.flag_col)
-            check_columns(bare, update_rows)
-            check_schema(bare, update_rows)
+            update_rows = flag_deleted(drop_meta(stored, spec.meta_prefix), spec.flag_col)
+            # The rows to write come from the files; where the table is registered, its own schema says what they must be.
+            expected = spark.table(f"`{database}`.`{spec.target_name}`") if database else stored
+            expected = drop_meta(expected, spec.meta_prefix)
+            check_columns(expected, update_rows)
+            check_schema(expected, update_rows)
             if update.size and not options.dry_run:
                 _flag_in_place(stored, update, spec, options, path)
                 if database:
@@ -164,14 +173,14 @@ def reconcile(
 def _find_update_set(
     active: DataFrame,
     source_keys: DataFrame,
-    even: bool,
+    way: str,
     spec: TableSpec,
     options: Options,
     folder: str,
 ) -> _UpdateSet:
     keys = list(spec.keys)
     null_safe = options.null_safe_keys
-    missing = missing_keys(active, source_keys, keys, null_safe, even)
+    missing = missing_keys(active, source_keys, keys, null_safe, way=way)
     gone = stage_sized(missing, f"{folder}/missing_keys", options.broadcast_limit)
     narrow = active.select(*map(column, dict.fromkeys([*keys, spec.partition_col])))
     rows = rows_with_keys(narrow, gone, keys, null_safe)

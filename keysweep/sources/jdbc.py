@@ -1,13 +1,19 @@
 """Reading the key columns of a source table over JDBC.
 
-Only keys are selected, inside the database. Large tables are read over several connections, split
-either by the range of the first key or by the remainder of all integer keys. Ranges can use an index,
-but come out even only for a single, dense key; remainders stay even when ids have gaps or one value of
-the first key holds a large share of the rows.
+Only keys are selected, inside the database. Large tables are read over several connections, split in one
+of three ways:
+
+* equal ranges of the first key. They can use an index, but come out even only for a single, dense key;
+* remainders of all integer keys. They stay even when ids have gaps or one value of the first key holds a large
+  share of the rows, but each of them scans the table, so they are for few parts;
+* quantiles: ranges of the whole key that hold equal numbers of rows. The database finds their bounds in one
+  scan, by ``NTILE``. They are even for any key, and each part is a range of the primary key's index,
+  so the table is scanned twice in all, however many parts there are.
 """
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial
@@ -23,7 +29,8 @@ FETCH_SIZE = 10_000
 PARALLEL_ABOVE = 1_000_000
 PARTITIONS = 10
 
-AUTO, RANGE, REMAINDER = "auto", "range", "remainder"
+AUTO, RANGE, REMAINDER, QUANTILE = "auto", "range", "remainder", "quantile"
+SPLITS = (AUTO, RANGE, REMAINDER, QUANTILE)
 
 
 @dataclass(frozen=True)
@@ -131,6 +138,70 @@ def remainder_predicates(
     return [f"MOD({' + '.join(terms)}, {partitions}) = {part}" for part in range(partitions)]
 
 
+def can_quantile(schema: T.StructType) -> bool:
+    """Whether the bounds of ranges can be written for all keys."""
+    return all(can_range(f.dataType) or isinstance(f.dataType, T.StringType) for f in schema.fields)
+
+
+def quantile_query(table: str, keys: Sequence[str], parts: int, quote: str = '"') -> str:
+    """The least key of each of ``parts`` ranges that hold equal numbers of rows, with the number of its range.
+
+    Keys with a NULL part are in none of them. One sort of the keys, which the index of the primary key saves.
+    """
+    names = [quoted(key, quote) for key in keys]
+    listed, present = ", ".join(names), " AND ".join(f"{name} IS NOT NULL" for name in names)
+    tiles = f"SELECT {listed}, NTILE({parts}) OVER (ORDER BY {listed}) AS tile FROM {quoted(table, quote)} WHERE {present}"
+    places = f"SELECT {listed}, tile, ROW_NUMBER() OVER (PARTITION BY tile ORDER BY {listed}) AS place FROM ({tiles}) tiles"
+    return f"(SELECT {listed}, tile FROM ({places}) places WHERE place = 1) subq"
+
+
+def literal(value: object) -> str:
+    """``value``, of a key, as SQL. Rounding does no harm, as a bound ends one part and begins the next."""
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    return f"{value:f}" if hasattr(value, "as_tuple") else repr(value)
+
+
+def not_before(names: Sequence[str], bound: Sequence[object]) -> str:
+    """That the key is ``bound`` or a later one, part by part."""
+    name, value = names[0], literal(bound[0])
+    if len(names) == 1:
+        return f"{name} >= {value}"
+    return f"({name} > {value} OR ({name} = {value} AND {not_before(names[1:], bound[1:])}))"
+
+
+def before(names: Sequence[str], bound: Sequence[object]) -> str:
+    """That the key comes before ``bound``."""
+    name, value = names[0], literal(bound[0])
+    if len(names) == 1:
+        return f"{name} < {value}"
+    return f"({name} < {value} OR ({name} = {value} AND {before(names[1:], bound[1:])}))"
+
+
+def quantile_predicates(keys: Sequence[str], bounds: Sequence[Sequence[object]], quote: str = '"') -> list[str]:
+    """One predicate per part; every row meets exactly one. ``bounds`` are the least keys of the parts, in order.
+
+    Parts are ranges of the first key, made finer by the others where they meet. Keys with a NULL part are a
+    part of their own. Equal bounds, of a key that is not unique, are one.
+    """
+    names = [quoted(key, quote) for key in keys]
+    starts = [tuple(bound) for i, bound in enumerate(bounds) if i == 0 or tuple(bound) != tuple(bounds[i - 1])]
+    present = [f"{name} IS NOT NULL" for name in names]
+    predicates = [" OR ".join(f"{name} IS NULL" for name in names)]
+    for i in range(max(1, len(starts))):
+        terms = list(present)
+        if i > 0:
+            terms += [f"{names[0]} >= {literal(starts[i][0])}", not_before(names, starts[i])]
+        if i + 1 < len(starts):
+            terms += [f"{names[0]} <= {literal(starts[i + 1][0])}", before(names, starts[i + 1])]
+        predicates.append(" AND ".join(dict.fromkeys(terms)))
+    return predicates
+
+
 def ranges_are_even(schema: T.StructType, low: object, high: object, rows: int) -> bool:
     """Whether equal ranges of the first key must hold similar numbers of rows.
 
@@ -151,11 +222,12 @@ def read_source_keys(
 ) -> DataFrame:
     """The keys of every source row, in parallel where the source is large, by its own count.
 
-    ``split`` says how: by range, by remainder, or by range only where that must come out even. ``target_count`` is what
+    ``split`` says how: by range, by remainder, or by quantiles. The default is ranges where they must come out even, else
+    remainders if they are few, else quantiles. ``target_count`` is what
     the job passes to any source; a small target says nothing about the size of a new source, so it is not used.
     """
-    if split not in (AUTO, RANGE, REMAINDER):
-        raise ValueError(f"unknown split {split!r}, expected {AUTO}, {RANGE} or {REMAINDER}")
+    if split not in SPLITS:
+        raise ValueError(f"unknown split {split!r}, expected one of {SPLITS}")
     options = connection_options(profile, settings)
     query = key_query(spec.name, spec.keys, profile.quote)
     plain = spark.read.format("jdbc").options(**options, dbtable=query)
@@ -166,13 +238,19 @@ def read_source_keys(
 
     schema = plain.load().schema
     predicates = remainder_predicates(schema, partitions, profile.quote)
-    forced = split == RANGE or predicates is None
+    by_quantile = can_quantile(schema) and (split == QUANTILE or (split == AUTO and partitions > PARTITIONS))
+    forced = not by_quantile and (split == RANGE or predicates is None)
     if can_range(schema[0].dataType) and (forced or (split == AUTO and len(schema) == 1)):
         bounds = bounds_query(spec.name, spec.keys[0], profile.quote)
         low, high, rows = spark.read.format("jdbc").options(**options, dbtable=bounds).load().first()
         if low is not None and (forced or ranges_are_even(schema, low, high, rows)):
             parts = range_options(schema[0].name, low, high, partitions)
             return plain.options(**parts).load().toDF(*spec.keys)
+    if by_quantile:
+        tiles = quantile_query(spec.name, spec.keys, partitions, profile.quote)
+        found = spark.read.format("jdbc").options(**options, dbtable=tiles).load().collect()
+        bounds = [row[:-1] for row in sorted(found, key=lambda row: row[-1])]
+        predicates = quantile_predicates(spec.keys, bounds, profile.quote)
     if predicates is None:
         return plain.load().toDF(*spec.keys)
     properties = {k: v for k, v in options.items() if k != "url"}

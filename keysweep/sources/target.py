@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from keysweep.functions.columns import column, is_active
+from keysweep.sources.csv_split import read_csv_records
 from keysweep.spec import FLAG_COLUMN, PARTITION_COLUMN
 
 # Read in place of an empty field without quotes; a quoted one is the empty text.
@@ -54,26 +55,32 @@ def read_target_active(
     return rows.filter(is_active(flag_col, null_is_active))
 
 
+CSV_OPTIONS = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": _NULL,
+    "mode": "FAILFAST",
+}
+
+
 def read_csv_snapshot(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True, split: bool = False
 ) -> DataFrame:
     """A CSV snapshot with a header, in declared types.
 
-    Quoted fields may hold line breaks and doubled quotes; an empty field is NULL unless quoted. A file with line breaks in fields cannot be
-    split between tasks, so write such snapshots as many files, or set ``multi_line`` to False where no
-    field holds a line break.
+    Quoted fields may hold line breaks and doubled quotes; an empty field is NULL unless quoted. Spark's own reader gives a file with
+    line breaks in fields to one task. With ``split`` such files are read by many tasks, twice, see ``csv_split``;
+    ``multi_line`` may be False where no field holds a line break, and then they are split anyway.
     """
-    return spark.read.schema(schema).csv(
-        path,
-        header=True,
-        multiLine=multi_line,
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-        nullValue=_NULL,
-        enforceSchema=False,
-        mode="FAILFAST",
-    )
+    if split and multi_line:
+        return read_csv_records(spark, path, schema, {**CSV_OPTIONS, "multiLine": "true"})
+    return spark.read.schema(schema).csv(path, header=True, multiLine=multi_line, enforceSchema=False, **csv_arguments())
+
+
+def csv_arguments() -> dict[str, object]:
+    """``CSV_OPTIONS`` as arguments of the reader."""
+    return {name: {"true": True, "false": False}.get(value, value) for name, value in CSV_OPTIONS.items()}
 
 
 def write_csv_snapshot(df: DataFrame, path: str) -> None:

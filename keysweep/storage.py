@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,16 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(df: DataFrame, path: str, **figures: Column) -> tuple[DataFrame, dict[str, object]]:
+    """``stage``, and aggregates of ``df`` that its tasks take on the way.
+
+    The write follows without a shuffle, so that each of its tasks counts once, also if it had to be repeated.
+    """
+    seen = Observation()
+    rows = stage(df.observe(seen, *[value.alias(name) for name, value in figures.items()]), path)
+    return rows, seen.get
+
+
 def row_bytes(df: DataFrame, names: Sequence[str]) -> Column:
     """Estimated size of a row of ``names`` in a broadcast hash table, on the safe side."""
     fixed = F.lit(ROW_OVERHEAD + FIELD_OVERHEAD * len(names)).cast("bigint")

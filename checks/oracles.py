@@ -205,6 +205,14 @@ ORACLES: dict[str, str] = {
             select id, cust_id, amount, last_modified,
                    case when {_gone("single")} then '1' else is_deleted end as is_deleted, partition_key
             from tgt_single t""",
+        "upsert_switched": f"""
+            select id, cust_id, amount, last_modified,
+                   case when {_gone("single")} then '1' else is_deleted end as is_deleted, partition_key
+            from tgt_single t""",
+        "upsert_by_index": f"""
+            select id, cust_id, amount, last_modified,
+                   case when {_gone("single")} then '1' else is_deleted end as is_deleted, partition_key
+            from tgt_single t""",
         "partitioned_publish": _PER_PARTITION,
         "catalog_publish": _PER_PARTITION,
         "audit_record": f"""
@@ -217,6 +225,10 @@ ORACLES: dict[str, str] = {
             select transaction_id, transaction_line_id,
                    case when {_gone("pair")} then '1' else is_deleted end as is_deleted, partition_key
             from tgt_pair t""",
+        "reconcile_by_digests": f"""
+            select transaction_id, transaction_line_id,
+                   case when {_gone("pair")} then '1' else is_deleted end as is_deleted, partition_key
+            from tgt_pair t""",
         "reconcile_evolved_files": f"""
             select id, case when id % 2 = 1 then amount end as amount,
                    case when {_gone("single")} then '1' else is_deleted end as is_deleted, partition_key

@@ -12,12 +12,12 @@ import keysweep as ks
 from checks import fixtures as fx
 from keysweep.functions import naming
 from keysweep.functions.columns import is_active
-from keysweep.operators import validate
+from keysweep.operators import homes, validate
 from keysweep.operators.counts import SOURCE_EXCEEDS_TARGET, gate_is_open
 from keysweep.operators.missing import BITMAP
 from keysweep.sources import config, jdbc
 from keysweep.sources.target import write_csv_snapshot
-from keysweep.storage import BROADCAST_LIMIT, work_folder
+from keysweep.storage import BROADCAST_LIMIT, stage, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -349,6 +349,41 @@ def reconcile_all_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ks.summary(spark, outcomes)
 
 
+def reconcile_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run that compares only the key ranges whose digests changed since the first one."""
+    target = fx.tgt_pair(spark, sf_dir)
+    path = published(spark, target, "digests")
+    digests = f"{path}_digests"
+    everything = target.select(*fx.PAIR.keys)
+    for source in (everything, fx.src_pair(spark, sf_dir)):
+        ks.reconcile(spark, fx.PAIR, source, path, run_time=RUN_TIME, run_id=RUN_ID, digests=digests)
+    return ks.read_target(spark, path).select("transaction_id", "transaction_line_id", "is_deleted", "partition_key")
+
+
+def upsert_switched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert of ``upsert_soft_delete`` into a catalog table whose partitions are switched to new locations."""
+    path = published(spark, ks.drop_meta(fx.tgt_single(spark, sf_dir)), "switched")
+    name = ks.publish_table(spark, path, path.split("/")[-2].replace("-", "_"), "single", database_path=f"{path}_database")
+    rows = ks.read_registered(spark, name).filter(is_active())
+    missing = ks.missing_in_source(rows, fx.src_single(spark, sf_dir), fx.SINGLE.keys)
+    ks.upsert_to_table(spark, ks.flag_deleted(missing), name, fx.SINGLE.keys, fx.SINGLE.ordering)
+    return ks.read_registered(spark, name)
+
+
+def upsert_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert of ``upsert_soft_delete`` in two halves, which find their partitions by an index of all keys."""
+    path = published(spark, ks.drop_meta(fx.tgt_single(spark, sf_dir)), "indexed")
+    database = path.split("/")[-2].replace("-", "_")
+    name = ks.publish_table(spark, path, database, "single", database_path=f"{path}_database")
+    rows = ks.read_registered(spark, name).filter(is_active())
+    missing = ks.flag_deleted(ks.missing_in_source(rows, fx.src_single(spark, sf_dir), fx.SINGLE.keys))
+    update = stage(missing, f"{path}_update")
+    for half in (0, 1):
+        batch = update.filter(F.col("id") % 2 == half)
+        ks.upsert_to_table(spark, batch, name, fx.SINGLE.keys, fx.SINGLE.ordering, index=homes.index_name(database, "single"))
+    return ks.read_registered(spark, name)
+
+
 def reconcile_evolved_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run over partitions whose older files lack a column: the rewrite must not lose it."""
     path = work_folder(spark, "evolved") + "/table"
@@ -416,10 +451,13 @@ QUERIES: dict[str, Query] = {
     "upsert_events": upsert_events,
     "upsert_keeps_partition": upsert_keeps_partition,
     "upsert_soft_delete": upsert_soft_delete,
+    "upsert_switched": upsert_switched,
+    "upsert_by_index": upsert_by_index,
     "partitioned_publish": partitioned_publish,
     "catalog_publish": catalog_publish,
     "audit_record": audit_record,
     "soft_delete_end_to_end": soft_delete_end_to_end,
+    "reconcile_by_digests": reconcile_by_digests,
     "reconcile_all_configured": reconcile_all_configured,
     "reconcile_evolved_files": reconcile_evolved_files,
     "reconcile_all_audited": reconcile_all_audited,

@@ -8,12 +8,15 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.functions.columns import align_keys, column, drop_meta, in_values, is_active
 from keysweep.functions.naming import utc_now
 from keysweep.operators.counts import ALWAYS, GATES, check_delete_fraction, gate_is_open
+from keysweep.operators import digests as dg
 from keysweep.operators.missing import (
     BROADCAST,
     flag_deleted,
@@ -34,9 +37,10 @@ from keysweep.sinks.audit import (
     counts_frame,
 )
 from keysweep.sinks.publish import overwrite_partitions
+from keysweep.sinks.swap import read_registered, registered_name, swap_partitions
 from keysweep.sources.target import read_target, require_table
 from keysweep.spec import TableSpec
-from keysweep.storage import BROADCAST_LIMIT, Sized, stage_sized, work_folder
+from keysweep.storage import BROADCAST_LIMIT, Sized, stage, stage_sized, work_folder
 
 log = logging.getLogger(__name__)
 
@@ -56,6 +60,9 @@ class Options:
     null_flag_is_active: bool = False
     snapshot_source: bool = True
     dry_run: bool = False
+    # Partitions are replaced by Spark's overwrite of their files, or, of tables that are read through the catalog
+    # alone, by switching their locations, which a crash cannot leave half done.
+    swap_locations: bool = False
     broadcast_limit: int = BROADCAST_LIMIT
 
 
@@ -76,6 +83,7 @@ class Outcome:
 @dataclass(frozen=True)
 class _UpdateSet:
     keys: Sized
+    rows: DataFrame
     rows_by_partition: dict[str | None, int]
 
     @property
@@ -94,10 +102,12 @@ def reconcile(
     run_time: str | None = None,
     run_id: str = "",
     folder: str | None = None,
+    digests: str | None = None,
 ) -> Outcome:
     """Flag the rows of the table at ``path`` whose key is gone from ``source``, and audit the run.
 
-    The keys of the source are read once, into the shared folder: the count, the gate and the comparison
+    ``digests`` is a folder of this table's own where digests of key ranges are kept between runs, so that only ranges that
+    have changed since the last one are compared. The keys of the source are read once, into the shared folder: the count, the gate and the comparison
     all see the same rows, also when executors are lost. A run that is repeated finds nothing more to flag.
     """
     spec.check()
@@ -117,7 +127,12 @@ def reconcile(
     try:
         if database:
             require_table(spark, database, spec.target_name)
-        stored = read_target(spark, path, partition_col=spec.partition_col)
+        if options.swap_locations and not database:
+            raise ValueError("locations are switched in the catalog, so a database must be given")
+        if options.swap_locations:
+            stored = read_registered(spark, registered_name(database, spec.target_name))
+        else:
+            stored = read_target(spark, path, partition_col=spec.partition_col)
         check_required(stored, [*spec.keys, spec.flag_col, spec.partition_col, spec.ordering])
         active = stored.filter(is_active(spec.flag_col, options.null_flag_is_active))
         ours = measured(active, spec.keys, options.null_safe_keys)
@@ -131,12 +146,22 @@ def reconcile(
             theirs = measured(source_keys, spec.keys, options.null_safe_keys)
         counts[0] = theirs.rows
 
+        kept = now = None
+        if digests:
+            kept = dg.read_digests(spark, digests)
+            shift = kept.shift if kept else dg.width_of(source_keys, spec.keys)
+            sides = [dg.key_digests(df, spec.keys, shift, options.null_safe_keys) for df in (source_keys, active)]
+            now = stage(dg.both_sides(*sides), f"{folder}/digests")
         update = None
         if gate_is_open(counts[0] - counts[1], options.gate):
             way = BROADCAST
             if theirs.broadcast_bytes > options.broadcast_limit:
                 way = way_of(ours, measured(source_keys, spec.keys, options.null_safe_keys) if options.snapshot_source else theirs)
-            update = _find_update_set(active, source_keys, way, spec, options, folder)
+            compared = (active, source_keys)
+            if kept:
+                changed = stage(dg.changed_ranges(now, kept.rows), f"{folder}/changed_ranges")
+                compared = tuple(dg.in_ranges(df.select(*map(column, spec.keys)), changed, spec.keys, shift) for df in compared)
+            update = _find_update_set(active, compared, way, spec, options, folder)
             if options.gate == ALWAYS and not options.dry_run:
                 check_delete_fraction(update.size, counts[1], options.max_delete_fraction)
             update_rows = flag_deleted(drop_meta(stored, spec.meta_prefix), spec.flag_col)
@@ -145,10 +170,17 @@ def reconcile(
             expected = drop_meta(expected, spec.meta_prefix)
             check_columns(expected, update_rows)
             check_schema(expected, update_rows)
+            if now is not None and not options.dry_run:
+                # What is active after this run; taken before the files of the flagged rows change.
+                gone = dg.key_digests(update.rows, spec.keys, shift, options.null_safe_keys)
+                theirs_now, ours_now = (now.filter(F.col("side") == side) for side in (dg.SOURCE, dg.TARGET))
+                now = stage(dg.both_sides(theirs_now, dg.without(ours_now, gone)), f"{folder}/digests_after")
             if update.size and not options.dry_run:
-                _flag_in_place(stored, update, spec, options, path)
+                _flag_in_place(stored, update, spec, options, path, database)
                 if database:
                     spark.catalog.refreshTable(f"`{database}`.`{spec.target_name}`")
+            if now is not None and not options.dry_run:
+                dg.write_digests(now, digests, shift, kept)
     except Exception as error:
         try:
             record(FAILED)
@@ -172,7 +204,7 @@ def reconcile(
 
 def _find_update_set(
     active: DataFrame,
-    source_keys: DataFrame,
+    compared: tuple[DataFrame, DataFrame],
     way: str,
     spec: TableSpec,
     options: Options,
@@ -180,17 +212,17 @@ def _find_update_set(
 ) -> _UpdateSet:
     keys = list(spec.keys)
     null_safe = options.null_safe_keys
-    missing = missing_keys(active, source_keys, keys, null_safe, way=way)
+    missing = missing_keys(*compared, keys, null_safe, way=way)
     gone = stage_sized(missing, f"{folder}/missing_keys", options.broadcast_limit)
     narrow = active.select(*map(column, dict.fromkeys([*keys, spec.partition_col])))
     rows = rows_with_keys(narrow, gone, keys, null_safe)
     # One row per partition directory, which the driver lists anyway.
     per_partition = rows.groupBy(column(spec.partition_col)).agg(F.count(F.lit(1))).collect()
-    return _UpdateSet(gone, {partition: n for partition, n in per_partition})
+    return _UpdateSet(gone, rows, {partition: n for partition, n in per_partition})
 
 
 def _flag_in_place(
-    stored: DataFrame, update: _UpdateSet, spec: TableSpec, options: Options, path: str
+    stored: DataFrame, update: _UpdateSet, spec: TableSpec, options: Options, path: str, database: str | None
 ) -> None:
     """Rewrite the partitions that hold rows of the update set, with these rows flagged."""
     touched = stored.filter(in_values(spec.partition_col, list(update.rows_by_partition)))
@@ -203,7 +235,10 @@ def _flag_in_place(
         options.null_flag_is_active,
     )
     check_written(rows, stored.schema)
-    overwrite_partitions(rows, path, spec.partition_col, gather=not update.keys.small)
+    if options.swap_locations:
+        swap_partitions(rows, registered_name(database, spec.target_name), spec.partition_col, gather=not update.keys.small)
+    else:
+        overwrite_partitions(rows, path, spec.partition_col, gather=not update.keys.small)
 
 
 class UnreconciledTables(ExceptionGroup):
@@ -220,9 +255,10 @@ def reconcile_all(
     parallel: int = 1,
     **settings,
 ) -> list[Outcome]:
-    """One run per table, by its name, ``parallel`` of them at a time.
+    """One run per table, by its name, ``parallel`` of them at a time, those with the largest files first.
 
-    A failed table does not stop the others; their errors are raised together at the end, with the outcomes of the others.
+    Each run has a scheduler pool of its own. Where ``spark.scheduler.mode`` is FAIR, runs share the executors, and a small
+    table is not held up by the tasks of a large one. A failed table does not stop the others; their errors are raised together at the end, with the outcomes of the others.
     """
     specs = list(specs)
     for spec in specs:
@@ -237,8 +273,15 @@ def reconcile_all(
             error.add_note(f"table {spec.name}")
             return error
 
+    def pooled(spec: TableSpec) -> Outcome | Exception:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.target_name)
+        return run(spec)
+
+    # The order only matters if not all of them run at once.
+    order = specs if parallel >= len(specs) else sorted(specs, key=lambda spec: -stored_bytes(spark, paths[spec.name]))
     with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(run, specs))
+        begun = {spec.name: pool.submit(inheritable_thread_target(spark)(pooled), spec) for spec in order}
+        results = [begun[spec.name].result() for spec in specs]
     errors = [result for result in results if isinstance(result, Exception)]
     if errors:
         group = UnreconciledTables("some tables were not reconciled", errors)
@@ -247,6 +290,15 @@ def reconcile_all(
     return results
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """The size of the files at ``path``, from their listing alone."""
+    try:
+        plan = spark.read.schema("size int").parquet(path)._jdf.queryExecution().optimizedPlan()
+        return int(str(plan.stats().sizeInBytes()))
+    except AnalysisException:
+        return 0
+
+
 def summary(spark: SparkSession, outcomes: Iterable[Outcome]) -> DataFrame:
     """One row per run: its table and its counts."""
     rows = [(o.spec.name, o.source_count, o.target_count, o.flagged_count) for o in outcomes]

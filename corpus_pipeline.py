@@ -7,6 +7,12 @@
 5. BPE encoding and decoding: the tokens of each document that is left, and checksums of them and of their text.
 
 All stages but the last return the columns of documents; ``n_chars`` follows the text.
+
+Cases: a NULL or empty text, or one of fewer than 50 words, fails the fixed rules and goes in the first stage; NULL in any other
+column stays as it is, and a NULL identifier is one like others; texts of any length are taken whole; of repeated rows, and of rows of one
+identifier whose texts are near duplicates, one stays; ties go to the least identifier; an empty table of documents gives an empty
+result, without labels the fixed rules alone decide, and without a benchmark nothing is contaminated; more columns of documents,
+whatever their names, are kept by all stages but the last.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from html import unescape
 
 # A quote opens a value right after "=" only; any other one is an ordinary character of the tag.
@@ -65,6 +67,8 @@ class Page:
         self.depths: list[int] = [0]
         self.ends: list[int] = [0]
         self.open = [0]
+        # How many elements of each tag are open, so that no one is looked for in vain.
+        self.opened = Counter()
         self.pieces: list[str] = []
         self.linked = 0
         self.in_link = False
@@ -100,11 +104,13 @@ class Page:
     def close_to(self, depth: int) -> None:
         self.finish_run()
         while len(self.open) > depth:
-            self.ends[self.open.pop()] = len(self.tags)
+            node = self.open.pop()
+            self.ends[node] = len(self.tags)
+            self.opened[self.tags[node]] -= 1
         self.in_link = False
 
     def close(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
+        for k in range(len(self.open) - 1 if self.opened[tag] else 0, 0, -1):
             if self.tags[self.open[k]] == tag:
                 self.close_to(k)
                 return
@@ -113,7 +119,7 @@ class Page:
 
     def begin(self, tag: str, attributes: str) -> None:
         self.finish_run()
-        for k in range(len(self.open) - 1, 0, -1):
+        for k in range(len(self.open) - 1 if self.opened["p"] else 0, 0, -1):
             here = self.tags[self.open[k]]
             if here == "p":
                 self.close_to(k)
@@ -121,7 +127,7 @@ class Page:
                 break
         if tag in CLOSES:
             own, until = CLOSES[tag]
-            for k in range(len(self.open) - 1, 0, -1):
+            for k in range(len(self.open) - 1 if any(self.opened[t] for t in own) else 0, 0, -1):
                 here = self.tags[self.open[k]]
                 if here in own:
                     self.close_to(k)
@@ -129,9 +135,10 @@ class Page:
                     break
         if tag != "hr":
             self.open.append(self.add(tag, attribute_tokens(attributes) if "=" in attributes else (), "", 0))
+            self.opened[tag] += 1
 
     def read(self, html: str) -> None:
-        at, search, lower = 0, TAG.search, None
+        at, search, ends = 0, TAG.search, None
         while True:
             found = search(html, at)
             if found is None:
@@ -153,10 +160,8 @@ class Page:
             tag = opening.lower()
             if tag in DROPPED or tag in RAW:
                 if not found.group(3).endswith("/") or tag in RAW:
-                    lower = html.lower() if lower is None else lower
-                    # A change of length by lower case would move places; such letters are rare, and found again.
-                    lower = html if len(lower) != len(html) else lower
-                    at = after_element(lower, at, tag, self.tags[self.open[-1]])
+                    ends = Ends(html) if ends is None else ends
+                    at = ends.after_element(at, tag, self.tags[self.open[-1]])
             elif tag in BLOCKS:
                 self.begin(tag, found.group(3))
             elif tag == "br":
@@ -165,33 +170,59 @@ class Page:
                 self.in_link = True
 
 
-def end_of_parent(html: str, at: int, stop: int, parent: str) -> int:
-    """Where the block that is open at ``at`` is closed before ``stop``, or -1. A paragraph is closed by the next one, too."""
-    depth = 0
-    for found in re.compile(rf"<(/?){re.escape(parent)}(?=[\s/>])").finditer(html, at, stop):
-        depth += -1 if found[1] or parent == "p" else 1
-        if depth < 0:
-            return found.start()
-    return -1
-
-
-def after_element(html: str, at: int, tag: str, parent: str) -> int:
-    """Where the element that was opened before ``at`` ends; an element that nothing closes ends where it began.
+class Ends:
+    """Where elements of a page end. Each thing is searched for once, from the left to the right, however many elements ask."""
 
-    One that is not closed before its parent block is, ends with that block. A head without an end goes up to the body, raw text
-    without one to the end of the page.
-    """
-    end = html.find(f"</{tag}", at)
-    if tag == "head":
-        body = html.find("<body", at)
-        end = body if end < 0 or 0 <= body < end else end
-        if end == body and end >= 0:
-            return end
-    if tag not in RAW and tag != "head" and parent in BLOCKS:
-        closed = end_of_parent(html, at, len(html) if end < 0 else end, parent)
-        if closed >= 0:
-            return closed
-    if end < 0:
-        return len(html) if tag in RAW else at
-    close = html.find(">", end)
-    return len(html) if close < 0 else close + 1
+    def __init__(self, html: str):
+        lower = html.lower()
+        # A change of length by lower case would move places; such letters are rare, and tags in upper case with them.
+        self.html = html if len(lower) != len(html) else lower
+        self.next: dict[str, int] = {}
+        self.marks: dict[str, tuple[list[int], list[int], dict[int, list[int]]]] = {}
+
+    def find(self, what: str, at: int) -> int:
+        """As ``str.find``, for places that do not go back."""
+        known = self.next.get(what)
+        if known is None or 0 <= known < at:
+            self.next[what] = known = self.html.find(what, at)
+        return known
+
+    def end_of_parent(self, at: int, stop: int, parent: str) -> int:
+        """Where the block that is open at ``at`` is closed before ``stop``, or -1. A paragraph is closed by the next one, too.
+
+        Its closing tag is the first one that takes the depth below that at ``at``, so it is the next place of that depth.
+        """
+        if parent not in self.marks:
+            places, depths, by_depth, depth = [], [], {}, 0
+            for found in re.compile(rf"<(/?){re.escape(parent)}(?=[\s/>])").finditer(self.html):
+                depth += -1 if found[1] or parent == "p" else 1
+                by_depth.setdefault(depth, []).append(len(places))
+                places.append(found.start())
+                depths.append(depth)
+            self.marks[parent] = places, depths, by_depth
+        places, depths, by_depth = self.marks[parent]
+        first = bisect_left(places, at)
+        lower = by_depth.get((depths[first - 1] if first else 0) - 1, [])
+        k = bisect_left(lower, first)
+        return places[lower[k]] if k < len(lower) and places[lower[k]] < stop else -1
+
+    def after_element(self, at: int, tag: str, parent: str) -> int:
+        """Where the element that was opened before ``at`` ends; an element that nothing closes ends where it began.
+
+        One that is not closed before its parent block is, ends with that block. A head without an end goes up to the body, raw
+        text without one to the end of the page.
+        """
+        end = self.find(f"</{tag}", at)
+        if tag == "head":
+            body = self.find("<body", at)
+            end = body if end < 0 or 0 <= body < end else end
+            if end == body and end >= 0:
+                return end
+        if tag not in RAW and tag != "head" and parent in BLOCKS:
+            closed = self.end_of_parent(at, len(self.html) if end < 0 else end, parent)
+            if closed >= 0:
+                return closed
+        if end < 0:
+            return len(self.html) if tag in RAW else at
+        close = self.html.find(">", end)
+        return len(self.html) if close < 0 else close + 1

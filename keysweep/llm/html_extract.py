@@ -104,8 +104,10 @@ def node_features(pages: Sequence[Page]) -> np.ndarray:
     # Names and tags of all ancestors, level by level from the root.
     above = np.zeros((len(tags), len(kinds) + 1 + len(AROUND)))
     here = np.concatenate([own, np.stack([group == g for g in AROUND], axis=1)], axis=1)
-    for level in range(1, int(depth.max(initial=0)) + 1):
-        rows = np.flatnonzero(depth == level)
+    order = np.argsort(depth, kind="stable")
+    levels = np.searchsorted(depth[order], np.arange(int(depth.max(initial=0)) + 2))
+    for level in range(1, len(levels) - 1):
+        rows = order[levels[level] : levels[level + 1]]
         above[rows] = np.maximum(above[parent[rows]], np.where(run[parent[rows], None], 0, here[parent[rows]]))
     total = below(chars)
     page_total = np.maximum(total[base], 1)

@@ -6,7 +6,8 @@ one aggregation; the smoothed logarithms form a matrix of languages by buckets,
 matrix columns of the n-grams of each document and the logarithm of the language's share of documents.
 
 Every fourth document by CRC-32 of its identifier is held out of training. The language is only read for training.
-The matrix has a fixed number of buckets; more than ``most_languages`` languages are an error.
+The matrix has a fixed number of buckets. More than ``most_languages`` languages are dealt to several matrices; the documents
+are scored with one after the other, and the best language and the sum of all chances are united.
 
 Cases: a NULL text, or one without letters, gets ``und`` with score 0, and so does every text if nothing could be
 learned; languages that score alike are taken in alphabetical order; a NULL identifier counts as empty text; rows that repeat
@@ -23,11 +24,13 @@ from pyspark.sql import functions as F
 
 from keysweep.functions.columns import column
 from keysweep.llm.shipping import ship
+from keysweep.llm.staging import Stage
 from keysweep.llm.text import batch_of, map_pieces, mixed, pieces
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
+# Languages of one matrix, which takes 128 KB for each of them.
 MOST_LANGUAGES = 256
 UNKNOWN = "und"
 # What turns up to three code points into one number before it is mixed.
@@ -95,7 +98,7 @@ def train(docs: DataFrame, buckets: int) -> DataFrame:
                     own[-1] += int((has & (lang == i)).sum())
         for name, own in sums.items():
             at = np.flatnonzero(own)
-            yield batch_of(lang=[name] * len(at), bucket=np.where(at == buckets, -1, at), n=own[at])
+            yield batch_of(lang=pa.array([name] * len(at), pa.string()), bucket=np.where(at == buckets, -1, at), n=own[at])
 
     ship(docs.sparkSession)
     found = docs.select("text", "lang").mapInArrow(count, "lang string, bucket long, n long")
@@ -103,21 +106,19 @@ def train(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 class Model:
-    """Languages in alphabetical order, and the matrix of log-probabilities, one row for each bucket."""
+    """Some languages in alphabetical order, and their matrix of log-probabilities, one row for each bucket.
 
-    def __init__(self, rows, buckets: int, smoothing: float):
-        rows = [(r.lang, r.bucket, r.n) for r in rows]
-        self.languages = sorted({lang for lang, bucket, _ in rows if bucket == -1})
+    ``documents`` has the number of documents of each of these languages, ``total`` that of all languages.
+    """
+
+    def __init__(self, documents: dict[str, int], total: int, rows, buckets: int, smoothing: float):
+        self.languages, self.buckets = sorted(documents), buckets
         place = {lang: i for i, lang in enumerate(self.languages)}
-        counts, docs = np.full((buckets, len(place)), smoothing), np.zeros(len(place))
-        for lang, bucket, n in rows:
-            if bucket >= 0 and lang in place:
-                counts[bucket, place[lang]] += n
-            elif lang in place:
-                docs[place[lang]] = n
-        self.buckets = buckets
+        counts = np.full((buckets, len(place)), smoothing)
+        for row in rows:
+            counts[row.bucket, place[row.lang]] += row.n
         self.matrix = np.log(counts / counts.sum(axis=0)).astype(np.float32) if len(place) else counts
-        self.share = np.log(docs / docs.sum()) if len(place) else docs
+        self.share = np.log(np.array([documents[lang] for lang in self.languages]) / max(total, 1))
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log-probability of each text and language, and whether each text has letters."""
@@ -127,14 +128,18 @@ class Model:
             total[:, k] = np.bincount(text, self.matrix[:, k][bucket], len(texts)) + self.share[k]
         return total, has
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def best(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The best language of each text, its log-probability, and the sum of the chances of all languages over its own."""
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), np.inf)
         total, has = self.scores(texts)
-        best = total.argmax(axis=1)
-        chance = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        best, top = total.argmax(axis=1), total.max(axis=1)
         names = [self.languages[b] if h else UNKNOWN for b, h in zip(best.tolist(), has.tolist())]
-        return names, np.where(has, chance, 0.0)
+        return names, top, np.where(has, np.exp(total - top[:, None]).sum(axis=1), np.inf)
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        names, _, others = self.best(texts)
+        return names, 1 / others
 
 
 def language_id(
@@ -147,19 +152,65 @@ def language_id(
     most_languages: int = MOST_LANGUAGES,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score."""
+    stage, context = Stage(docs.sparkSession, "language-id"), docs.sparkSession.sparkContext
     known = docs.filter(column(text_col).isNotNull() & column(lang_col).isNotNull() & ~held_out(id_col))
     known = known.select(column(text_col).alias("text"), column(lang_col).cast("string").alias("lang"))
-    languages = known.select("lang").distinct().limit(most_languages + 1).count()
-    if languages > most_languages:
-        raise ValueError(f"more than {most_languages} languages")
-    model = Model(train(known, buckets).toLocalIterator(), buckets, smoothing)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    counts = stage(train(known, buckets), "counts")
+    # One number for each language that has a document with letters.
+    documents = {r.lang: r.n for r in counts.filter("bucket = -1").collect()}
+    total, names = sum(documents.values()), sorted(documents)
+    rows = docs.select(
+        column(id_col).cast("bigint").alias("id"),
+        held_out(id_col).alias("held_out"),
+        F.xxhash64(column(text_col)).alias("digest"),
+        column(text_col).alias("text"),
+    )
+
+    def model(own: list[str]) -> Model:
+        sums = counts.filter((F.col("bucket") >= 0) & F.col("lang").isin(own)).toLocalIterator() if own else ()
+        return Model({lang: documents[lang] for lang in own}, total, sums, buckets, smoothing)
+
+    if len(names) <= most_languages:
+        return scored(rows, context.broadcast(model(names)))
+    parts = None
+    for k in range(0, len(names), most_languages):
+        shared = context.broadcast(model(names[k : k + most_languages]))
+        part = stage(candidates(rows, shared).withColumn("matrix", F.lit(k)), f"part-{k}")
+        shared.destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    return united(parts)
+
 
+def scored(rows: DataFrame, shared) -> DataFrame:
     def predict(piece: pa.RecordBatch) -> pa.RecordBatch:
         names, chance = shared.value.predict(piece.column("text").to_pylist())
-        return batch_of(doc_id=piece.column("id"), held_out=piece.column("held_out"), lang_pred=names, score=chance)
+        return batch_of(doc_id=piece.column("id"), held_out=piece.column("held_out"), lang_pred=pa.array(names, pa.string()), score=chance)
 
-    rows = docs.select(
-        column(id_col).cast("bigint").alias("id"), held_out(id_col).alias("held_out"), column(text_col).alias("text")
-    )
     return map_pieces(rows, ["id", "held_out", "text"], predict, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def candidates(rows: DataFrame, shared) -> DataFrame:
+    """The best of some languages for each row, its log-probability, and the sum of the chances of these languages over its own."""
+
+    def find(piece: pa.RecordBatch) -> pa.RecordBatch:
+        names, top, others = shared.value.best(piece.column("text").to_pylist())
+        columns = {name: piece.column(name) for name in ("id", "held_out", "digest")}
+        return batch_of(**columns, lang=names, top=top, others=others)
+
+    schema = "id long, held_out boolean, digest long, lang string, top double, others double"
+    return map_pieces(rows, ["id", "held_out", "digest", "text"], find, schema)
+
+
+def united(parts: DataFrame) -> DataFrame:
+    """Results of several matrices, each with its number. Rows of one identifier and text are alike, and judged once."""
+    row = ["id", "held_out", "digest"]
+    each = parts.groupBy(*row, "matrix").agg(*[F.first(c).alias(c) for c in ("lang", "top", "others")], F.count("*").alias("rows"))
+    found = each.groupBy(*row).agg(
+        F.min_by("lang", F.struct((-F.col("top")).alias("top"), "lang")).alias("lang_pred"),
+        F.max("top").alias("most"),
+        F.collect_list(F.struct("top", "others")).alias("all"),
+        F.first("rows").cast("int").alias("rows"),
+    )
+    chances = F.aggregate("all", F.lit(0.0), lambda acc, x: acc + x["others"] * F.exp(x["top"] - F.col("most")))
+    copied = found.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("rows"))))
+    return copied.select(F.col("id").alias("doc_id"), "held_out", "lang_pred", (1 / chances).alias("score"))

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from keysweep.llm import boosting, bpe, html_extract, language_id, lm_score, quality, secret_scan
+from keysweep.llm import boosting, bpe, dom, html_extract, language_id, lm_score, quality, secret_scan
 from keysweep.llm import decontaminate as dc
 from keysweep.llm.dom import Page
 from keysweep.llm.layouts import laid_out
@@ -76,6 +76,77 @@ def test_language(spark):
     assert language_id.language_id(df.limit(0)).count() == 0
 
 
+def plain_bayes(rows, buckets=language_id.BUCKETS, smoothing=language_id.SMOOTHING):
+    """Language and chance of each text by sums over its n-grams, as the words say it."""
+
+    def grams(text):
+        codes, out = [], []
+        for c in (text or "").lower():
+            if c.isalpha():
+                codes.append(ord(c))
+            elif not codes or codes[-1]:
+                codes.append(0)
+        codes += [0] if not codes or codes[-1] else []
+        for n in language_id.ORDERS:
+            for i in range(len(codes) - n + 1):
+                if n > 1 or codes[i]:
+                    total = n + sum(c * f for c, f in zip(codes[i : i + n], language_id.FACTORS))
+                    out.append(int(language_id.mixed(np.array([total % 2**64], np.uint64))[0]) % buckets)
+        return out, any(codes)
+
+    train = [r for r in rows if r[1] is not None and r[2] is not None and crc(r[0]) % 4 != 2]
+    counts, docs = {}, Counter()
+    for _, text, lang in train:
+        found, has = grams(text)
+        counts.setdefault(lang, Counter()).update(found)
+        docs[lang] += has
+    names = sorted(lang for lang, n in docs.items() if n)
+    totals = {lang: sum(counts[lang].values()) + smoothing * buckets for lang in names}
+    out = []
+    for _, text, _ in rows:
+        found, has = grams(text)
+        sums = [np.log(docs[x] / sum(docs.values())) + sum(np.log((counts[x][b] + smoothing) / totals[x]) for b in found) for x in names]
+        best = int(np.argmax(sums)) if sums else 0
+        out.append((names[best], 1 / np.exp(np.array(sums) - sums[best]).sum()) if has and sums else ("und", 0.0))
+    return out
+
+
+def crc(value):
+    import zlib
+
+    return zlib.crc32(("" if value is None else str(value)).encode())
+
+
+def test_language_by_plain_sums_and_by_many_matrices(spark):
+    rng = random.Random(9)
+    sounds = {lang: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöüéè", k=3)) for _ in range(12)] for lang in ("aa", "bb", "cc", "dd", "ee")}
+    texts = lambda lang, n: " ".join(rng.choice(sounds[lang]) for _ in range(n)) + rng.choice((".", " 12", "\n", ""))
+    rows = [(i, texts(lang, rng.randint(1, 6)), lang) for i, lang in enumerate(rng.choices(list(sounds), k=160))]
+    rows += [(500, None, "aa"), (501, " 12 ", "bb"), (502, "ää bb", None), (None, texts("aa", 3), "aa"), (503, "", "ff")] + rows[:3] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({c: F.lit(1) for c in ("id", "digest", "matrix", "rows", "top")})
+    key = lambda r: (str(r[0]), r[2], round(r[3], 5))
+    want = sorted(((i, crc(i) % 4 == 2, *found) for (i, _, _), found in zip(rows, plain_bayes(rows))), key=key)
+    for most in (256, 2, 1):
+        got = sorted(map(tuple, language_id.language_id(df, most_languages=most).collect()), key=key)
+        assert [r[:3] for r in got] == [r[:3] for r in want]
+        assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-4)
+
+
+def test_more_languages_than_a_matrix_holds(spark):
+    rows = [(10 * i + k, f"{chr(0x4E00 + i)} {chr(0x4E00 + i)}x", f"l{i:03}") for i in range(300) for k in range(8)]
+    found = language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"), buckets=1 << 13)
+    right = [r.lang_pred == f"l{r.doc_id // 10:03}" for r in found.collect()]
+    assert len(right) == len(rows) and sum(right) > 0.97 * len(right)
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = language_id.language_id(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    right = sum(r.lang == r.lang_pred for r in found)
+    print("accuracy", right, len(found))
+    assert len(found) > 200 and right >= 0.97 * len(found)
+
+
 def test_gram_buckets_by_hand():
     bucket, text, has = language_id.gram_buckets(["Ab c!", None, "1"], 1 << 15)
     assert has.tolist() == [True, False, False]
@@ -222,6 +293,47 @@ def test_dom_reads_bad_markup():
     assert [page.ends[i] - i for i, t in enumerate(page.tags) if t == "div"] == [3]
 
 
+def plain_end(html, at, tag, parent):
+    """Where an element ends, by looking at everything behind it each time."""
+    end = html.find(f"</{tag}", at)
+    if tag not in dom.RAW and parent in dom.BLOCKS:
+        depth = 0
+        for found in re.finditer(rf"<(/?){parent}(?=[\s/>])", html[: len(html) if end < 0 else end]):
+            if found.start() >= at:
+                depth += -1 if found[1] or parent == "p" else 1
+                if depth < 0:
+                    return found.start()
+    if end < 0:
+        return len(html) if tag in dom.RAW else at
+    return html.find(">", end) + 1 or len(html)
+
+
+def test_ends_of_elements():
+    rng = random.Random(8)
+    for _ in range(300):
+        html = "".join(rng.choice(("<div>", "</div>", "<p>", "</p>", "<button>", "</button>", "<script>", "</script>", "x", "<divs>")) for _ in range(25))
+        ends = dom.Ends(html)
+        for at in sorted(rng.sample(range(len(html) + 1), 6)):
+            for tag in ("button", "script", "select"):
+                for parent in ("div", "p", "#root"):
+                    assert ends.after_element(at, tag, parent) == plain_end(html, at, tag, parent)
+
+
+def test_reading_is_linear():
+    import time
+
+    for part in ("<div><button>", "<template>", "<ul>", "<div></section>", "<p><select>", "<li>x", "<div><p><textarea>", "<td><option>", "<b><head>"):
+        began = time.perf_counter()
+        page = Page(part * (1_000_000 // len(part)))
+        assert time.perf_counter() - began < 4, part
+        if part == "<ul>":
+            assert max(page.depths) > 200_000
+    deep = Page("<div>" * 20_000 + "text")
+    began = time.perf_counter()
+    html_extract.node_features([deep])
+    assert time.perf_counter() - began < 6
+
+
 def test_decoding_is_hierarchical():
     page = Page("<div><p>a</p><div><p>b</p></div></div><p>c</p>")
     rng = np.random.default_rng(0)
@@ -289,6 +401,50 @@ def test_network_gradients():
     assert net.log_probabilities(tokens, around).mean() > before + 1
 
 
+@pytest.mark.parametrize("known", [lm_score.KNOWN, 40])
+def test_scores_by_plain_sums(spark, frame, monkeypatch, known):
+    """Scores of documents by a plain softmax over all tokens for each word, in a small network of random weights."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(rng.choices(words, k=rng.choice((1, 2, 3, 40, 300))))) for i in range(40)] + [(99, "w1 once"), (100, None), (101, "")]
+    networks = []
+
+    def random_network(docs, vocabulary, stage, rounds):
+        networks.append((vocabulary.value, lm_score.Network(np.random.default_rng(2).normal(0, 0.3, len(lm_score.Network(side=vocabulary.value.side).flat)), vocabulary.value.side)))
+        return networks[-1][1]
+
+    monkeypatch.setattr(lm_score, "train", random_network)
+    found = {r.doc_id: r for r in lm_score.lm_score(frame(rows), known=known).collect()}
+    vocabulary, net = networks[-1]
+    counts = Counter(w for _, t in rows for w in brute.words(t))
+    number = {w: int(lm_score.hashed_words(pa.array([w]))[0][0]) for w in counts}
+    token = {w: int(vocabulary(np.array([h], np.uint64))[0]) for w, h in number.items()}
+    in_bucket = Counter()
+    for w, n in counts.items():
+        in_bucket[token[w]] += n
+    side, first_bucket = net.side, vocabulary.pad - vocabulary.buckets
+    assert any(t < first_bucket for t in token.values()) and any(t >= first_bucket for t in token.values())
+
+    def probability(around):
+        h = np.tanh(net.bias + sum(net.embed[k][t] for k, t in enumerate(around)))
+        classes = np.exp(h @ net.classes + net.class_bias)
+        inner = np.exp(np.einsum("h,chw->cw", h, net.words) + net.word_bias)
+        return (classes / classes.sum())[:, None] * inner / inner.sum(axis=1, keepdims=True)
+
+    for i, text in rows[:12] + rows[-3:]:
+        own = [token[w] for w in brute.words(text)]
+        total = 0.0
+        for at, w in enumerate(brute.words(text)):
+            around = [own[at + p] if 0 <= at + p < len(own) else vocabulary.pad for p in lm_score.PLACES]
+            every = probability(around)
+            assert every.sum() == pytest.approx(1, abs=1e-4)
+            total += np.log(every[divmod(own[at], side)])
+            if own[at] >= first_bucket:
+                total += np.log(counts[w] / in_bucket[own[at]])
+        assert found[i].log_probability == pytest.approx(total, rel=1e-3, abs=1e-2)
+        assert found[i].n_words == len(own)
+
+
 def test_windows_stay_in_their_text():
     tokens, around, text = lm_score.Vocabulary([]).windows(pa.array(["a b", None, "c"]))
     pad = lm_score.PAD

@@ -3,7 +3,7 @@
 Lines are separated by ``\\n``; their words are runs of characters other than ASCII white space. Lines without a word
 always stay. Two lines are close if their words are equal or if, both having at least ``min_words`` words, one becomes
 the other by inserting, deleting or replacing one word. A line is removed if an earlier line is close to it, earlier
-meaning a smaller identifier (NULL is the smallest; texts of one identifier are ordered by a checksum) or the same text
+meaning a smaller identifier (NULL is the smallest; texts of one identifier are told apart and ordered by a 64-bit hash) or the same text
 and a smaller number. Lines are judged on the input, whether or not the earlier one is itself removed.
 
 Lines with the same words are one class from the start. Classes are linked by their deletion neighbourhoods:

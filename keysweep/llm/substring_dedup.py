@@ -2,7 +2,7 @@
 
 A window is ``length`` consecutive words of one text, a word being a run of characters other than ASCII white space.
 Every word covered by a window that also starts earlier is removed, earlier meaning a smaller identifier (NULL is the
-smallest; texts that share an identifier are ordered by a checksum) or a smaller position in the same text. Windows
+smallest; texts that share an identifier are told apart and ordered by a 64-bit hash) or a smaller position in the same text. Windows
 are judged on the input.
 
 1. Seeds. Each window selects the least hash among its groups of ``seed_words`` words, the leftmost on a tie, so equal
@@ -14,7 +14,8 @@ are judged on the input.
    one, by the hash of their words under their seed. That yields both ends of a maximal repeat.
 
 Copies are counted before they are shuffled, and the joins are sort-merge joins of stored tables, of which Spark splits
-hot keys. No pairs are formed: each occurrence meets the earliest one only.
+hot keys. No pairs are formed: each occurrence meets the earliest one only. Windows are equal if the 64-bit hashes of their
+seed and of all their words are; the words themselves are not compared again.
 
 Cases: a NULL or empty text has no words; a text of fewer than ``length`` words loses nothing; rows that repeat an
 identifier and a text all get the same result, and do not count as earlier than each other; an empty table gives an

@@ -485,6 +485,45 @@ def test_words_of_a_bucket_are_told_apart(spark, frame):
         assert again == pytest.approx({i: r.log_probability for i, r in found.items()}, rel=1e-4)
 
 
+def test_scores_do_not_depend_on_partitions(spark, frame):
+    rng = random.Random(4)
+    words = [f"w{int(rng.paretovariate(0.6))}" for _ in range(40_000)]
+    rows = [(i // 2, " ".join(rng.sample(words, rng.choice((0, 5, 150))))) for i in range(300)] + [(7, None)] * 3
+    docs = frame(rows)
+    found = [
+        sorted((r.doc_id, r.n_words, r.log_probability) for r in lm_score.lm_score(docs.repartition(n, "text")).collect()) for n in (1, 9)
+    ]
+    assert [r[:2] for r in found[0]] == [r[:2] for r in found[1]]
+    assert [r[2] for r in found[0]] == pytest.approx([r[2] for r in found[1]], rel=1e-5)
+
+
+def test_scores_of_rows_without_identifier_and_a_long_text(spark, frame):
+    rows = [(None, "one two three")] * 40 + [(1, "one two " * 400_000), (2, "x" * 1_000_000)]
+    found = lm_score.lm_score(frame(rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_words) for r in found) == [(0, 3)] * 40 + [(1, 800_000), (2, 1)]
+    assert len({r.log_probability for r in found if r.doc_id is None}) == 1
+
+
+@pytest.mark.parametrize("few", [0, 3, 8, 1000])
+def test_sums_by_identifier(monkeypatch, few):
+    monkeypatch.setattr(lm_score, "FEW", few)
+    rng = np.random.default_rng(1)
+    ids, rows = np.minimum(rng.zipf(1.3, 5000), 900).astype(np.uint16), rng.normal(size=(5000, 4)).astype(np.float32)
+    known = np.zeros((901, 4))
+    np.add.at(known, ids, rows.astype(float))
+    found, sums = lm_score.sums_by(ids, rows)
+    assert found.tolist() == sorted(set(ids.tolist())) and np.allclose(sums, known[found], atol=1e-4)
+
+
+def test_tokens_beyond_the_bound_are_told_apart_by_their_share(spark):
+    counts = spark.range(4000).select(F.xxhash64("id").alias("hash"), F.lit(1000).cast("long").alias("n"))
+    words, members, _ = lm_score.vocabulary_of(counts, lm_score.KNOWN, most_tokens=2048)
+    hashes = np.array([r.hash for r in counts.collect()], np.int64).view(np.uint64)
+    assert words.pad <= 2048 and len(words.hashes) == words.pad - words.buckets
+    outside = hashes[words(hashes) >= words.pad - words.buckets]
+    assert np.bincount(words(outside), np.exp(members(outside)[0]))[words(outside)] == pytest.approx(1)
+
+
 def test_vocabulary_grows(spark):
     sides = []
     for words in (500, 4000, 80_000):

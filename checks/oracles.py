@@ -233,6 +233,9 @@ ORACLES: dict[str, str] = {
             select id, case when id % 2 = 1 then amount end as amount,
                    case when {_gone("single")} then '1' else is_deleted end as is_deleted, partition_key
             from tgt_single t""",
+        "widened_files_scan": """
+            select o_orderkey as id, o_custkey as cust_id, o_orderstatus as partition_key,
+                   'decimal(20,0)/decimal(18,4)/string' as kinds from orders""",
         "reconcile_all_audited": " union all ".join(
             f"""select '{name}' as source_table_name, source_count as source_table_count,
                    target_count as target_table_count, source_count - target_count as record_count_diff,

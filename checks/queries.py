@@ -394,6 +394,19 @@ def reconcile_evolved_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ks.read_target(spark, path).select("id", "amount", "is_deleted", "partition_key")
 
 
+def widened_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose older files hold a narrower key and fewer digits than its newer ones, read in the types that hold both."""
+    folder = work_folder(spark, "widened")
+    orders = fx.table(spark, sf_dir, "orders").withColumn("partition_key", F.col("o_orderstatus"))
+    for key, digits, rest in (("int", "decimal(12,0)", 0), ("bigint", "decimal(16,2)", 1), ("decimal(20,0)", "decimal(14,4)", 2)):
+        rows = orders.filter(F.col("o_orderkey") % 3 == rest)
+        rows = rows.selectExpr(f"cast(o_orderkey as {key}) as id", f"cast(o_custkey as {digits}) as cust_id", "partition_key")
+        rows.write.mode("append").partitionBy("partition_key").parquet(f"{folder}/table")
+    found = ks.read_target(spark, f"{folder}/table", kept_schema=f"{folder}/schema")
+    kinds = "/".join(f.dataType.simpleString() for f in found.schema)
+    return found.select(F.col("id").cast("bigint"), F.col("cust_id").cast("bigint"), "partition_key", F.lit(kinds).alias("kinds"))
+
+
 def reconcile_all_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit table of parallel runs that share one folder and one audit path."""
     entries = config.parse_table_config(spark.createDataFrame([(CONFIG,)], "value string"))
@@ -460,5 +473,6 @@ QUERIES: dict[str, Query] = {
     "reconcile_by_digests": reconcile_by_digests,
     "reconcile_all_configured": reconcile_all_configured,
     "reconcile_evolved_files": reconcile_evolved_files,
+    "widened_files_scan": widened_files_scan,
     "reconcile_all_audited": reconcile_all_audited,
 }

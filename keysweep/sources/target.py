@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from keysweep.functions.columns import column, is_active
 from keysweep.sources.csv_split import read_csv_records
+from keysweep.sources.widening import stored_schema
 from keysweep.spec import FLAG_COLUMN, PARTITION_COLUMN
 
 # Read in place of an empty field without quotes; a quoted one is the empty text.
@@ -27,18 +28,18 @@ def read_target(
     path: str,
     schema: T.StructType | None = None,
     partition_col: str | None = PARTITION_COLUMN,
+    kept_schema: str | None = None,
 ) -> DataFrame:
     """All rows of the partitioned Parquet table at ``path``, in its stored types.
 
     Spark would guess the type of the partition column from directory names, and turn ``007`` into 7.
     Without a ``schema`` it is read as the text it was written as, and the schemas of all files are merged: a column
-    that only some files have is NULL in the rows of the others. Files that disagree on a type fail the read.
+    that only some files have is NULL in the rows of the others, and a column that is wider in some files is so in all rows.
+    Files whose types no type holds without loss fail the read. ``kept_schema`` is a folder outside of the table
+    that keeps the merged schema, so that the next read looks at new files only.
     """
     if schema is None:
-        found = spark.read.option("mergeSchema", "true").parquet(path).schema
-        schema = T.StructType(
-            [T.StructField(f.name, T.StringType()) if f.name == partition_col else f for f in found]
-        )
+        schema = stored_schema(spark, path, partition_col, kept_schema)
     return spark.read.schema(schema).parquet(path).select(*map(column, schema.fieldNames()))
 
 

@@ -143,18 +143,40 @@ def can_quantile(schema: T.StructType) -> bool:
     return all(can_range(f.dataType) or isinstance(f.dataType, T.StringType) for f in schema.fields)
 
 
-def quantile_query(table: str, keys: Sequence[str], parts: int, quote: str = '"') -> str:
+def quantile_query(table: str, keys: Sequence[str], parts: int, quote: str = '"', slices: str | None = None) -> str:
     """The least key of each of ``parts`` ranges that hold equal numbers of rows, with the number of its range.
 
-    Keys with a NULL part are in none of them. One sort of the keys, which the index of the primary key saves.
+    Keys with a NULL part are in none of them. One sort of the keys, which the index of the primary key saves. An engine that
+    would sort them in one task is told by ``slices``, a column that numbers consecutive ranges of keys in their order: it sorts each
+    of these by itself and adds the counts of those before. The rows are the same.
     """
     names = [quoted(key, quote) for key in keys]
     listed, present = ", ".join(names), " AND ".join(f"{name} IS NOT NULL" for name in names)
+    if slices:
+        return sliced_query(quoted(table, quote), names, present, parts, quoted(slices, quote))
     tiles = f"SELECT {listed}, NTILE({parts}) OVER (ORDER BY {listed}) AS tile FROM {quoted(table, quote)} WHERE {present}"
     places = f"SELECT {listed}, tile, ROW_NUMBER() OVER (PARTITION BY tile ORDER BY {listed}) AS place FROM ({tiles}) tiles"
     return f"(SELECT {listed}, tile FROM ({places}) places WHERE place = 1) subq"
 
 
+def sliced_query(table: str, names: Sequence[str], present: str, parts: int, part: str) -> str:
+    """The rows of ``quantile_query``, by the rank of each row in its slice, ``part``, and the number of rows in the slices before."""
+    listed, ours = ", ".join(names), ", ".join(f"places.{name}" for name in names)
+    sizes = f"SELECT {part}, COUNT(*) AS size FROM {table} WHERE {present} GROUP BY {part}"
+    # One row for each slice.
+    before = f"SELECT {part}, SUM(size) OVER (ORDER BY {part}) - size AS skipped, SUM(size) OVER () AS total FROM ({sizes}) sizes"
+    places = f"SELECT {listed}, {part}, ROW_NUMBER() OVER (PARTITION BY {part} ORDER BY {listed}) - 1 AS place FROM {table} WHERE {present}"
+    ranks = (
+        f"SELECT {ours}, skipped + place AS place, FLOOR(total / {parts}) AS size, MOD(total, {parts}) AS longer "
+        f"FROM ({places}) places JOIN ({before}) slices ON places.{part} = slices.{part}"
+    )
+    # The first ``longer`` ranges have a row more than the others, as those of NTILE.
+    early, rest = "longer * (size + 1)", "(place - longer * (size + 1))"
+    first = f"CASE WHEN place < {early} THEN MOD(place, size + 1) ELSE MOD({rest}, NULLIF(size, 0)) END = 0"
+    tile = f"CASE WHEN place < {early} THEN place / (size + 1) ELSE longer + {rest} / NULLIF(size, 0) END + 1"
+    return f"(SELECT {listed}, CAST({tile} AS INTEGER) AS tile FROM ({ranks}) ranks WHERE {first}) subq"
+
+
 def literal(value: object) -> str:
     """``value``, of a key, as SQL. Rounding does no harm, as a bound ends one part and begins the next."""
     if isinstance(value, str):

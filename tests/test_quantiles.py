@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import random
+import re
 import string
 from decimal import Decimal
 
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from test_sources import PASSWORD, SECRETS, Reader
 
 import keysweep as ks
+from keysweep.operators import slices
 from keysweep.sources import jdbc
+from keysweep.storage import work_folder
 
 DAY = datetime.date(2024, 1, 1)
 
@@ -66,6 +69,35 @@ def test_parts_are_even_and_whole(spark, name, parts):
     assert even(sizes, parts)
 
 
+def tiles_of(spark, df, parts, slice_rows, folder):
+    slices.key_slices(df, df.columns, folder, slice_rows).createOrReplaceTempView("quantile_slices")
+    return spark.sql("SELECT * FROM " + jdbc.quantile_query("quantile_slices", df.columns, parts, "`", slices.SLICE))
+
+
+@pytest.mark.parametrize("name", CASES)
+@pytest.mark.parametrize("parts", [1, 1000])
+def test_slices_give_the_bounds_of_one_sort(spark, name, parts):
+    schema, rows = CASES[name]
+    df = spark.createDataFrame(rows(random.Random(3)), schema).repartition(3)
+    df.createOrReplaceTempView("quantile_source")
+    whole = spark.sql("SELECT * FROM " + jdbc.quantile_query("quantile_source", df.columns, parts, "`"))
+    sliced = tiles_of(spark, df, parts, 100, work_folder(spark, "slices"))
+    assert sliced.schema.simpleString() == whole.schema.simpleString()
+    assert sorted(map(str, sliced.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_no_task_sorts_all_keys(spark):
+    df = spark.range(0, 20_000, 1, 4).selectExpr("id * 7919 % 20011 as a", "string(id) as b")
+    found = tiles_of(spark, df, 10, 1000, work_folder(spark, "slices"))
+    assert [row.tile for row in sorted(found.collect())] == list(range(1, 11))
+    sizes = [row["count"] for row in spark.table("quantile_slices").groupBy(slices.SLICE).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 3000
+    # What is ordered without partitions has a row for each slice.
+    query = jdbc.quantile_query("quantile_slices", df.columns, 10, "`", slices.SLICE)
+    windows = re.findall(r"OVER \((.*?)\)", query)
+    assert windows and all(w in ("", f"ORDER BY `{slices.SLICE}`") or w.startswith(f"PARTITION BY `{slices.SLICE}` ") for w in windows)
+
+
 keys = st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.one_of(st.none(), st.sampled_from(["", "a", "b'", "c"]))), max_size=40)
 
 

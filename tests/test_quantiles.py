@@ -98,6 +98,16 @@ def test_no_task_sorts_all_keys(spark):
     assert windows and all(w in ("", f"ORDER BY `{slices.SLICE}`") or w.startswith(f"PARTITION BY `{slices.SLICE}` ") for w in windows)
 
 
+def test_slices_of_hot_text_keys_are_even(spark):
+    """Half of the keys share their first part, as those of ``source_text_quantiles`` do; keys with a NULL are in no slice."""
+    code = "case when id % 2 = 0 then 'it''s' when id % 53 = 0 then null else 'p' || id % 7 end as code"
+    df = spark.range(0, 20_000, 1, 4).selectExpr(code, "cast(id / 4 as decimal(18, 2)) as line", "date_add(date'2024-01-01', int(id % 9)) as day")
+    found = tiles_of(spark, df, 10, 1000, work_folder(spark, "slices")).collect()
+    assert sorted(row.tile for row in found) == list(range(1, 11))
+    sizes = [row["count"] for row in spark.table("quantile_slices").groupBy(slices.SLICE).count().collect()]
+    assert sum(sizes) == df.filter("code is not null").count() and max(sizes) < 3000
+
+
 keys = st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.one_of(st.none(), st.sampled_from(["", "a", "b'", "c"]))), max_size=40)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import keysweep as ks
 from checks import fixtures as fx
-from keysweep.operators.key_filter import MAY_HOLD, WORD_BYTES, key_filter
+from keysweep.operators.key_filter import MAY_HOLD, WORD_BYTES, block_bytes, key_filter
 from keysweep.operators.missing import flag_rows, rows_with_keys
 from keysweep.plans import reconcile as plans
 from keysweep.storage import sized, stage, work_folder
@@ -60,6 +60,17 @@ def test_few_rows_go_through_the_join(spark):
     assert seen.count() < 14_000
 
 
+def test_bits_of_many_keys_do_not_fill_up(spark):
+    stored = spark.range(1_000_000).selectExpr("id * 7919 as a")
+    gone = stage(stored.filter("a % 10 = 0"), work_folder(spark, "gone"))
+    # Room for all bits in blocks; in rows of one word each, there were three bits for a key.
+    likely = key_filter(gone, stored.schema, ["a"], work_folder(spark, "filter"), 400_000)
+    assert likely.bits >= 16 * gone.count() and likely.words.count() * block_bytes(likely.block_bits) <= 400_000
+    seen = likely.mark(stored).filter(MAY_HOLD)
+    assert seen.join(gone, "a", "left_semi").count() == gone.count() == 100_000
+    assert seen.count() < 170_000
+
+
 def test_no_filter_where_equal_texts_differ_or_there_is_no_room(spark):
     plain = spark.range(9).selectExpr("string(id) as a")
     other = plain.selectExpr("a collate UTF8_LCASE as a")

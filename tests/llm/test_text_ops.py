@@ -515,6 +515,48 @@ def test_sums_by_identifier(monkeypatch, few):
     assert found.tolist() == sorted(set(ids.tolist())) and np.allclose(sums, known[found], atol=1e-4)
 
 
+def test_words_are_counted_in_few_merges(monkeypatch):
+    monkeypatch.setattr(lm_score, "WAITING", 500)
+    sizes, tallied = [], lm_score.tallied
+    monkeypatch.setattr(lm_score, "tallied", lambda counted: sizes.append(sum(len(h) for h, _ in counted)) or tallied(counted))
+    texts = [" ".join(["the", "the"] + [f"w{i % 1200}-{k}" for k in range(20)]) for i in range(2000)]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[at : at + 4] + [None, ""]}) for at in range(0, 2000, 4)]
+    found = Counter()
+    for batch in lm_score.word_counts(iter(batches)):
+        found.update(dict(zip(batch.column("hash").to_pylist(), batch.column("n").to_pylist())))
+    hashes = lm_score.hashed_words(pa.array(texts))[0].view(np.int64).tolist()
+    assert found == Counter(hashes)
+    assert len(sizes) > 10 and sum(sizes) < 3 * len(hashes)
+    assert not list(lm_score.word_counts(iter([])))
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 700])
+def test_lookup_of_hashes(size):
+    rng = np.random.default_rng(size)
+    # Half of them share their leading bits.
+    known = np.unique(np.concatenate([rng.integers(0, 1 << 64, size - size // 2, np.uint64), rng.integers(0, 1000, size // 2, np.uint64)]))
+    asked = np.concatenate([known, known + np.uint64(1), np.array([0, 2**63, 2**64 - 1], np.uint64)])
+    for hashes in (known, np.append(known, np.uint64(2**64 - 1))):
+        at, found = lm_score.Lookup(hashes)(asked)
+        assert found.tolist() == np.isin(asked, hashes).tolist()
+        assert (hashes[at[found]] == asked[found]).all()
+
+
+def test_network_uses_its_memory_again():
+    net = lm_score.Network()
+    rng = np.random.default_rng(0)
+    h = np.ones((500, lm_score.HIDDEN + 1), np.float32)
+    tokens = rng.integers(0, lm_score.TOKENS, 500)
+    groups = net.by_class(tokens)[3]
+    first = net.over_words(h, groups)
+    assert np.shares_memory(first, net.over_classes(h)) and np.shares_memory(first, net.over_words(h[:100], []))
+    # Weights so large that exponentials overflow.
+    net.to_words *= 1e4
+    net.to_classes *= 1e4
+    assert (net.over_words(h, groups).max(axis=1) == 0).all() and (net.over_classes(h).max(axis=1) == 0).all()
+    assert np.isfinite(lm_score.softmax_gradient(net.over_classes(h), tokens // lm_score.CLASSES)).all()
+
+
 def test_tokens_beyond_the_bound_are_told_apart_by_their_share(spark):
     counts = spark.range(4000).select(F.xxhash64("id").alias("hash"), F.lit(1000).cast("long").alias("n"))
     words, members, _ = lm_score.vocabulary_of(counts, lm_score.KNOWN, most_tokens=2048)
